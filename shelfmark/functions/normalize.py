@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfmark.functions.fixed import CREATOR_ALIASES, GENRES, UNKNOWN_PLACES, WHITE_SPACE_CLASS, YEAR_PATTERN
-from shelfmark.functions.text import has_text, rstrip_chars, split_literal, strip, strip_chars
+from shelfmark.functions.text import has_text, let, rstrip_chars, split_literal, strip, strip_chars
 from shelfmark.functions.unicode import fold_accents
 
 
@@ -25,7 +25,7 @@ def _usable(c: Column) -> Column:
 def normalize_genre(c: Column, vocabulary: Mapping[str, str] = GENRES) -> Column:
     """Upper case, one trailing mark off, then the vocabulary's label if it has one."""
     label = strip(F.regexp_replace(F.upper(strip(c)), r"[.,;:!]$", ""))
-    return F.when(_usable(c), _lookup(vocabulary, label))
+    return F.when(_usable(c), let(label, lambda key: _lookup(vocabulary, key)))
 
 
 def normalize_subject(c: Column) -> Column:
@@ -59,13 +59,16 @@ def normalize_place(c: Column) -> Column:
     """Brackets and trailing marks off; texts that say "not known" -> ``Unknown``; ``|`` -> comma."""
     bare = F.regexp_replace(strip(c), r'^\[?"?\[?', "")
     bare = F.regexp_replace(bare, rf"[\]\"'.,;:!?{WHITE_SPACE_CLASS}]+$", "")
-    low = F.lower(bare)
-    unknown = bare.isin("", "?", "-")
-    for text in UNKNOWN_PLACES:
-        unknown = unknown | low.contains(text)
-    listed = F.replace(F.replace(bare, F.lit(" |"), F.lit(", ")), F.lit("|"), F.lit(", "))
-    listed = strip_chars(F.regexp_replace(listed, rf",[{WHITE_SPACE_CLASS}]*,", ","), " ,")
-    return F.when(has_text(c), F.when(unknown, "Unknown").otherwise(listed))
+
+    def place(text: Column) -> Column:
+        unknown = text.isin("", "?", "-")
+        for phrase in UNKNOWN_PLACES:
+            unknown = unknown | F.lower(text).contains(phrase)
+        listed = F.replace(F.replace(text, F.lit(" |"), F.lit(", ")), F.lit("|"), F.lit(", "))
+        listed = strip_chars(F.regexp_replace(listed, rf",[{WHITE_SPACE_CLASS}]*,", ","), " ,")
+        return F.when(unknown, "Unknown").otherwise(listed)
+
+    return F.when(has_text(c), let(bare, place))
 
 
 def extract_year(c: Column) -> Column:

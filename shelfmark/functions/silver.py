@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfmark.functions.fixed import REFERENCE_SHELVES
-from shelfmark.functions.text import blank_to_null, split_literal, split_values, strip
+from shelfmark.functions.text import blank_to_null, let, split_literal, split_values, strip
 from shelfmark.functions.unicode import nfkc
 
 
@@ -39,10 +39,13 @@ def clean_extent(c: Column) -> Column:
 
 def edtf_date(c: Column) -> Column:
     """``circa__1930__1935`` -> ``1930/1935~``; unknown or missing -> empty."""
-    parts = split_values(c, "__")
-    circa = F.exists(parts, lambda p: F.lower(p) == "circa")
-    dates = F.array_join(F.filter(parts, lambda p: F.lower(p) != "circa"), "/")
-    text = F.when(circa & (dates != ""), F.concat(dates, F.lit("~"))).otherwise(dates)
+
+    def joined(parts: Column) -> Column:
+        circa = F.exists(parts, lambda p: F.lower(p) == "circa")
+        dates = F.array_join(F.filter(parts, lambda p: F.lower(p) != "circa"), "/")
+        return F.when(circa & (dates != ""), F.concat(dates, F.lit("~"))).otherwise(dates)
+
+    text = let(split_values(c, "__"), joined)
     return F.when(c.isNull() | F.upper(c).contains("UNKNOWN"), F.lit("")).otherwise(text)
 
 

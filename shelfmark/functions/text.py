@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from shelfmark.functions.fixed import WHITE_SPACE
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Remove white space from both ends. (One parameter only: a second one would receive the
     index when this is used as the lambda of ``transform``.)"""

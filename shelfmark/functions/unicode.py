@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfmark.functions.text import let
+
 HANGUL_FIRST, HANGUL_LAST = 0xAC00, 0xD7A3
 
 
@@ -22,16 +24,17 @@ def fold_text(text: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def _fold_tables() -> tuple[str, str, dict[str, str], str]:
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
     """The folding tables, derived from the Unicode character database.
 
-    Returns (accented letters, their bases, letters with several bases, class of combining marks).
+    Returns (accented letters, then combining marks; the letters' bases; letters with several bases).
+    ``translate`` drops what has no counterpart, so the marks need none.
     """
     source, target, several, marks = [], [], {}, []
     for point in range(0x80, 0x110000):
         ch = chr(point)
         if unicodedata.combining(ch):
-            marks.append(point)
+            marks.append(ch)
         elif not HANGUL_FIRST <= point <= HANGUL_LAST:
             decomposition = unicodedata.decomposition(ch)
             if decomposition and not decomposition.startswith("<"):
@@ -41,12 +44,7 @@ def _fold_tables() -> tuple[str, str, dict[str, str], str]:
                     target.append(base)
                 else:
                     several[ch] = base
-    ranges, start = [], marks[0]
-    for left, right in zip(marks, marks[1:] + [None]):
-        if right != left + 1:
-            ranges.append(rf"\x{{{start:x}}}-\x{{{left:x}}}")
-            start = right
-    return "".join(source), "".join(target), several, "[" + "".join(ranges) + "]"
+    return "".join(source + marks), "".join(target), several
 
 
 def _hangul_class(position: str, index: int) -> str:
@@ -71,17 +69,23 @@ def _fold_hangul(c: Column) -> Column:
 def fold_accents(c: Column) -> Column:
     """Canonical decomposition with every combining mark dropped, as native expressions.
 
-    Rare scripts that need more than a letter-to-letter table sit behind cheap tests, so plain
-    text pays for one pass of ``translate`` and nothing at all when it is ASCII.
+    ASCII text is left alone, European text takes one pass of ``translate``. The scripts that need
+    more than a letter-to-letter table sit behind one range test.
     """
-    source, target, several, marks = _fold_tables()
-    wide = c
-    for ch, base in several.items():
-        wide = F.replace(wide, F.lit(ch), F.lit(base))
-    folded = F.when(c.rlike("[" + "".join(several) + "]"), wide).otherwise(c)
-    folded = F.when(folded.rlike("[가-힣]"), _fold_hangul(folded)).otherwise(folded)
-    folded = F.regexp_replace(F.translate(folded, source, target), marks, "")
-    return F.when(c.rlike(r"[^\x00-\x7F]"), folded).otherwise(c)
+    source, target, several = _fold_tables()
+    wide = f"[{min(several)}-\\x{{10ffff}}]"
+
+    def widened(x: Column) -> Column:
+        for ch, base in several.items():
+            x = F.replace(x, F.lit(ch), F.lit(base))
+        return let(x, lambda y: F.when(y.rlike("[가-힣]"), _fold_hangul(y)).otherwise(y))
+
+    def folded(x: Column) -> Column:
+        simple = F.translate(x, source, target)
+        rich = F.translate(widened(x), source, target)
+        return F.when(~x.rlike(r"[^\x00-\x7F]"), x).when(x.rlike(wide), rich).otherwise(simple)
+
+    return let(c, folded)
 
 
 def nfkc(c: Column) -> Column:

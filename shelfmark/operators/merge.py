@@ -76,7 +76,7 @@ def next_watermark(df: DataFrame, previous=None, changed: str = "change_dte", ad
     """One row: the newest time seen, never earlier than the previous watermark."""
     newest = F.greatest(F.max(changed), F.max(added))
     if previous is not None:
-        newest = F.greatest(newest, F.lit(previous))
+        newest = F.greatest(newest, F.lit(previous).cast(df.schema[changed].dataType))
     return df.agg(newest.alias("watermark"))
 
 
