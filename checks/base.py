@@ -14,7 +14,7 @@ from checks.views import view
 from shelfmark.functions import silver, text
 from shelfmark.operators.media import media_counts
 from shelfmark.plans.gold import normalize_catalog, unify_catalog
-from shelfmark.session import checkpoint_dir, configure
+from shelfmark.session import checkpoint_dir, configure, spread_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,7 +39,7 @@ def query(name: str, uses: str = "", body: str | None = None):
 def museum(spark: SparkSession, sf: str) -> DataFrame:
     """Museum view with the silver field rules applied."""
     c = F.col
-    return view(spark, sf, "mus").withColumns(
+    return spread_small(view(spark, sf, "mus")).withColumns(
         {
             "id": c("record_id") * 2 + 1,
             "title": text.title_cut(c("title")),
@@ -55,7 +55,7 @@ def museum(spark: SparkSession, sf: str) -> DataFrame:
 def library(spark: SparkSession, sf: str) -> DataFrame:
     """Library view with the silver field rules applied."""
     date = silver.marc_date(F.col("new_264_c"), F.col("new_260_c"))
-    df = view(spark, sf, "lib").withColumns({"id": F.col("record_id") * 2, "field_edtf_date_created": date})
+    df = spread_small(view(spark, sf, "lib")).withColumns({"id": F.col("record_id") * 2, "field_edtf_date_created": date})
     return df.drop("new_264_c", "new_260_c")
 
 

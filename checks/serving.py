@@ -323,10 +323,11 @@ def _(spark, sf):
 
 _WORDS = f"SELECT question_id, unnest(regexp_split_to_array(lower(question), '\\s+')) AS w FROM questions"
 _ASKED = f"SELECT question_id, w FROM ({_WORDS}) WHERE length(w) > 2 AND w NOT IN ({', '.join(map(sql.lit, fixed.STOP_WORDS))})"
-_SCORED = f"""SELECT question_id, record_id, CAST(sum(
-  CASE WHEN contains(lower(title), w) THEN 2 ELSE 0 END + CASE WHEN contains(lower(field_subject), w) THEN 1 ELSE 0 END
-  + CASE WHEN contains(lower(field_description_long), w) THEN 1 ELSE 0 END + CASE WHEN contains(lower(field_genre), w) THEN 1 ELSE 0 END) AS BIGINT) AS score
-  FROM ({_ASKED}) CROSS JOIN lib GROUP BY ALL"""
+_HITS = f"""SELECT w, record_id, CASE WHEN contains(t, w) THEN 2 ELSE 0 END + CASE WHEN contains(s, w) THEN 1 ELSE 0 END
+  + CASE WHEN contains(d, w) THEN 1 ELSE 0 END + CASE WHEN contains(g, w) THEN 1 ELSE 0 END AS points
+  FROM (SELECT DISTINCT w FROM ({_ASKED})) CROSS JOIN (SELECT record_id, lower(title) AS t, lower(field_subject) AS s, lower(field_description_long) AS d, lower(field_genre) AS g FROM lib)"""
+_SCORED = f"""SELECT question_id, record_id, CAST(sum(points) AS BIGINT) AS score
+  FROM ({_ASKED}) JOIN ({_HITS}) USING (w) WHERE points > 0 GROUP BY ALL"""
 _TOP5 = f"SELECT question_id, record_id, score, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, record_id)::INTEGER AS rank FROM ({_SCORED}) WHERE score > 0 QUALIFY rank <= 5"
 
 

@@ -116,7 +116,7 @@ SELECT record_id, row_id, add_dte, status, amount FROM deltas
 QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY add_dte DESC NULLS LAST, row_id DESC) = 1""")
 def _(spark, sf):
     deltas = view(spark, sf, "deltas").select("record_id", "row_id", "add_dte", "status", "amount")
-    master, fresh = deltas.where("add_dte < '1996-01-01'"), deltas.where("add_dte >= '1996-01-01'")
+    master, fresh = deltas.where("add_dte < timestamp_ntz'1996-01-01'"), deltas.where("add_dte >= timestamp_ntz'1996-01-01'")
     return merge.upsert_latest(master, fresh, "add_dte", "row_id")
 
 
@@ -127,8 +127,7 @@ def _(spark, sf):
 
 @query("next_watermark", "deltas", "SELECT greatest(max(change_dte), max(add_dte), TIMESTAMP '1997-03-01 00:00:00') AS watermark FROM deltas")
 def _(spark, sf):
-    row = merge.next_watermark(view(spark, sf, "deltas"), "1997-03-01 00:00:00.000")
-    return row.select(c("watermark").cast("timestamp_ntz").alias("watermark"))
+    return merge.next_watermark(view(spark, sf, "deltas"), "1997-03-01 00:00:00.000")
 
 
 @query("snapshot_append", "mus lib", """

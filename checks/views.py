@@ -100,8 +100,8 @@ FROM part WHERE p_size <= 10""",
     # change batches
     "deltas": """
 SELECT o_custkey AS record_id, o_orderkey AS row_id,
-       CASE WHEN o_orderstatus = 'P' THEN cast(NULL AS timestamp) ELSE cast(o_orderdate AS timestamp) END AS change_dte,
-       cast(o_orderdate AS timestamp) AS add_dte, o_orderstatus AS status, o_totalprice AS amount
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate END AS change_dte,
+       o_orderdate AS add_dte, o_orderstatus AS status, o_totalprice AS amount
 FROM orders""",
     # container log lines
     "logs": """

@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from shelfmark.functions.fixed import RETRIEVAL_WEIGHTS, STOP_WORDS, WHITE_SPACE_CLASS
+from shelfmark.session import spread_small
 
 QUESTIONS_PER_ROUND = 8_192  # questions sent to the tasks at a time
-QUESTIONS_PER_BLOCK = 512  # width of one score matrix
-RECORDS_PER_BLOCK = 256
+RECORDS_PER_BLOCK = 256  # records scored before the best are kept
 
 
 def keywords_of(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
@@ -32,17 +32,12 @@ def keywords_of(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
 
 def _scorer(questions: list[tuple[int, list[str]]], key: str, weights: Mapping[str, int], n: int):
     """A ``mapInPandas`` function that yields each task's best n records per question."""
+    ids = np.array([q for q, _ in questions])
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, words in questions for w in words}))}
-    blocks = []
-    for start in range(0, len(questions), QUESTIONS_PER_BLOCK):
-        part = questions[start : start + QUESTIONS_PER_BLOCK]
-        used = sorted({vocabulary[w] for _, words in part for w in words})
-        place = {v: i for i, v in enumerate(used)}
-        matrix = np.zeros((len(used), len(part)), dtype=np.float32)
-        for column, (_, words) in enumerate(part):
-            for w in words:
-                matrix[place[vocabulary[w]], column] += 1
-        blocks.append((np.array([q for q, _ in part]), np.array(used), matrix))
+    # postings: for each keyword, the questions that ask for it (a repeated keyword counts again)
+    pairs = sorted((vocabulary[w], column) for column, (_, words) in enumerate(questions) for w in words)
+    asked_by = np.array([column for _, column in pairs], dtype=np.int32)
+    starts = np.searchsorted([v for v, _ in pairs], np.arange(len(vocabulary) + 1))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         try:
@@ -61,6 +56,21 @@ def _scorer(questions: list[tuple[int, list[str]]], key: str, weights: Mapping[s
             def found_in(text: str) -> set[int]:
                 return {index for word, index in vocabulary.items() if word in text}
 
+        def points_of(fields: tuple) -> np.ndarray:
+            """Score of one record for every question."""
+            total = np.zeros(len(ids))
+            for weight, text in zip(weights.values(), fields):
+                # keywords hold no white space, so a text is its set of words
+                words = set(text.lower().split()) if text else ()
+                found = np.fromiter(found_in(" ".join(words)), dtype=np.int64) if words else starts[:0]
+                if len(found):
+                    # the postings of all keywords found, one after another
+                    sizes = starts[found + 1] - starts[found]
+                    shift = starts[found] - (np.cumsum(sizes) - sizes)
+                    columns = asked_by[np.arange(sizes.sum()) + np.repeat(shift, sizes)]
+                    total += weight * np.bincount(columns, minlength=len(ids))
+            return total
+
         def best(rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.sort_values(["question", "score", key], ascending=[True, False, True])
             return rows.groupby("question", sort=False).head(n)
@@ -71,30 +81,16 @@ def _scorer(questions: list[tuple[int, list[str]]], key: str, weights: Mapping[s
             pieces = [] if kept is None else [kept]
             for start in range(0, len(batch), RECORDS_PER_BLOCK):
                 rows = batch.iloc[start : start + RECORDS_PER_BLOCK]
-                hits = np.zeros((len(rows), len(vocabulary)), dtype=np.uint8)
-                for field, weight in weights.items():
-                    for i, text in enumerate(rows[field]):
-                        if text:
-                            found = list(found_in(text.lower()))
-                            hits[i, found] += weight
-                keys = rows[key].to_numpy()
+                scores = np.stack([points_of(fields) for fields in zip(*(rows[f] for f in weights))])
                 # earlier rows win ties: rows are in key order
-                tie = (len(rows) - np.arange(len(rows), dtype=np.float32))[:, None] / (len(rows) + 1)
-                for ids, used, matrix in blocks:
-                    scores = hits[:, used].astype(np.float32) @ matrix
-                    take = min(n, len(rows))
-                    order = np.argpartition(-(scores + tie), take - 1, axis=0)[:take]
-                    values = np.take_along_axis(scores, order, axis=0)
-                    row, column = np.nonzero(values)
-                    pieces.append(
-                        pd.DataFrame(
-                            {
-                                "question": ids[column],
-                                key: keys[order[row, column]],
-                                "score": values[row, column].astype(np.int64),
-                            }
-                        )
-                    )
+                tie = np.linspace(0.9, 0.0, len(rows), endpoint=False)[:, None]
+                take = min(n, len(rows))
+                order = np.argpartition(-(scores + tie), take - 1, axis=0)[:take]
+                values = np.take_along_axis(scores, order, axis=0)
+                row, column = np.nonzero(values)
+                keys = rows[key].to_numpy()[order[row, column]]
+                found = {"question": ids[column], key: keys, "score": values[row, column].astype(np.int64)}
+                pieces.append(pd.DataFrame(found))
             kept = best(pd.concat(pieces, ignore_index=True))
         if kept is not None:
             yield kept
@@ -118,7 +114,7 @@ def retrieve(
     asked = questions.select(F.col(question_id).cast("bigint").alias("question"), keywords_of(F.col(question)).alias("words"))
     asked = asked.where(F.size("words") > 0)
     rounds = max(1, -(-asked.count() // QUESTIONS_PER_ROUND))
-    fields = catalog.select(key, *weights)
+    fields = spread_small(catalog.select(key, *weights))
     schema = StructType([StructField("question", LongType()), fields.schema[key], StructField("score", LongType())])
     results = []
     for i in range(rounds):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from shelfmark.functions import fixed
+from shelfmark.functions.fixed import WHITE_SPACE
 from shelfmark.functions.identifiers import media_filename, media_name, split_ids
 from shelfmark.functions.text import null_clean
 
@@ -28,6 +29,9 @@ def string_columns(df: DataFrame) -> list[str]:
 def clean_strings(df: DataFrame, null_tokens: Sequence[str] = ()) -> DataFrame:
     """Strip every string column; blank text and ``null_tokens`` become null."""
     text = set(string_columns(df))
+    if not null_tokens:  # as SQL text: tables can have many hundred columns
+        clean = "nullif(trim(BOTH '" + WHITE_SPACE + "' FROM `{0}`), '') AS `{0}`"
+        return df.selectExpr(*[clean.format(c) if c in text else f"`{c}`" for c in df.columns])
     return df.select([null_clean(F.col(c), null_tokens).alias(c) if c in text else F.col(c) for c in df.columns])
 
 

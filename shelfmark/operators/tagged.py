@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.fixed import NOTE_CODES
+from shelfmark.session import spread_small
 
 FieldSpec = tuple[str, Sequence[str], bool]  # tag, subfield codes, whole field too
 
@@ -24,7 +25,7 @@ def _joined(order: Sequence[str], value: str, joiner: str) -> Column:
 
 def first_values(tagged: DataFrame) -> DataFrame:
     """First non-empty value of each subfield code in each occurrence."""
-    return tagged.where("value != ''").groupBy("rec_id", "tag", "occ", "code").agg(F.min_by("value", "pos").alias("value"))
+    return spread_small(tagged).where("value != ''").groupBy("rec_id", "tag", "occ", "code").agg(F.min_by("value", "pos").alias("value"))
 
 
 def column_name(tag: str, code: str) -> str:

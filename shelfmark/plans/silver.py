@@ -12,6 +12,7 @@ from shelfmark.functions import silver as rules
 from shelfmark.functions import text
 from shelfmark.operators.inventory import inventory_join
 from shelfmark.operators.shape import add_constants, clean_strings, rename_columns
+from shelfmark.session import spread_small
 
 DEFAULT_CREDIT = "Museum Collection"
 
@@ -29,7 +30,7 @@ def museum_silver(
     raw: DataFrame, roles: Sequence[tuple[str, str]] = (), credit: str = DEFAULT_CREDIT
 ) -> DataFrame:
     """Museum extract: catalogue names, constants, cleaned fields. One narrow pass, no shuffle."""
-    df = add_constants(rename_columns(raw, fixed.MUSEUM_RENAMES), fixed.MUSEUM_CONSTANTS)
+    df = add_constants(rename_columns(spread_small(raw), fixed.MUSEUM_RENAMES), fixed.MUSEUM_CONSTANTS)
     cleaners = {
         "field_genre": F.upper,
         "title": text.title_cut,
@@ -53,7 +54,7 @@ def library_silver(
     item_location: str = "Permanent Physical Location",
 ) -> DataFrame:
     """Flattened library records: catalogue names, merged and composed fields, shelf location."""
-    df = rename_columns(raw, fixed.LIBRARY_RENAMES)
+    df = rename_columns(spread_small(raw), fixed.LIBRARY_RENAMES)
     present = set(df.columns)
 
     def col(name: str):

@@ -62,3 +62,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input too small to be split by the scan.
+
+    A small file is one scan task however heavy the work on its rows. Up to one scan split per core
+    (by the optimizer's size estimate) the rows are dealt out; larger inputs already have enough
+    splits and are left where they are, without a shuffle.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df.repartition(cores) if size < cores * split else df
