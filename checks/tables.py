@@ -203,10 +203,9 @@ def _cell(tag: str, code: str) -> str:
 SELECT * FROM (WITH f AS ({_FIRST}), o AS (SELECT rec_id, min(occ) AS occ FROM tagged WHERE tag = '500' GROUP BY rec_id),
 w AS (SELECT rec_id, string_agg(t, ' | ' ORDER BY occ) AS new_650_full FROM (SELECT rec_id, occ, string_agg(value, ' ' ORDER BY pos, code) AS t FROM tagged WHERE tag = '650' GROUP BY ALL) GROUP BY rec_id),
 n AS (SELECT f.rec_id, max(CASE WHEN code = 'x' THEN value END) AS new_500_x FROM f JOIN o ON f.rec_id = o.rec_id AND f.occ = o.occ WHERE tag = '500' GROUP BY f.rec_id)
-SELECT p.*, coalesce(n.new_500_x, '') AS new_500_x, coalesce(w.new_650_full, '') AS new_650_full
-FROM (SELECT rec_id, {_cell('650', 'a')}, {_cell('650', 'x')}, {_cell('700', 'a')}, {_cell('700', 'b')} FROM f GROUP BY rec_id
-      HAVING count(*) FILTER (tag = '650' AND code IN ('a', 'x') OR tag = '700' AND code IN ('a', 'b')) > 0
-          OR rec_id IN (SELECT rec_id FROM w) OR rec_id IN (SELECT rec_id FROM n WHERE new_500_x IS NOT NULL)) p
+SELECT r.rec_id, {', '.join(f"coalesce({n}, '') AS {n}" for n in ('new_650_a', 'new_650_x', 'new_700_a', 'new_700_b', 'new_500_x', 'new_650_full'))}
+FROM (SELECT DISTINCT rec_id FROM tagged) r
+LEFT JOIN (SELECT rec_id, {_cell('650', 'a')}, {_cell('650', 'x')}, {_cell('700', 'a')}, {_cell('700', 'b')} FROM f GROUP BY rec_id) USING (rec_id)
 LEFT JOIN n USING (rec_id) LEFT JOIN w USING (rec_id))""")
 def _(spark, sf):
     spec = [("650", ["a", "x"], True), ("700", ["a", "b"], False)]

@@ -34,12 +34,23 @@ def _slice_offsets(slices: DataFrame) -> DataFrame:
     return sizes.select(SLICE, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
 
 
-def assign_ids(df: DataFrame, order: Sequence[Column], name: str = "id") -> DataFrame:
-    """Dense ids 1..n in the given order."""
+def assign_ids(
+    df: DataFrame, order: Sequence[Column], name: str = "id", key: Sequence[str] | None = None
+) -> DataFrame:
+    """Dense ids 1..n in the given order.
+
+    With ``key`` (columns that identify a row), only the order and the key are sorted and written;
+    the ids are then joined to the rows. Without it the whole rows are.
+    """
+    columns = [c for c in df.columns if c != name]
+    if key is not None:
+        sorted_by = {f"_order{i}": column for i, column in enumerate(order)}
+        narrow = df.select(*key, *[column.alias(c) for c, column in sorted_by.items()])
+        ids = assign_ids(narrow, [F.col(c) for c in sorted_by], name).select(name, *key)
+        return df.drop(name).join(ids, list(key)).select(name, *columns)
     slices = ordered_slices(df, order)
     # one offset row per slice: bounded by the number of shuffle partitions
     numbered = slices.join(F.broadcast(_slice_offsets(slices)), SLICE)
-    columns = [c for c in df.columns if c != name]
     return numbered.select((F.col("_offset") + F.col(ROW) + 1).alias(name), *columns)
 
 

@@ -103,22 +103,31 @@ def audit_summary(audit: DataFrame) -> DataFrame:
 def file_counts(listing: DataFrame, extensions: Sequence[str] = (".jpg",)) -> DataFrame:
     """(``base``, ``files``): 1 for ``base`` plus the unbroken run ``base_1``, ``base_2``, ...
 
-    The run ends at the first number whose successor is missing, found with an anti join on
-    (base, number): no group is sorted or collected, however many files one base has.
+    Each file says of its own number that it exists and of the number before that it has a
+    successor. The run ends at the first number without one. Grouped by (base, number) first, so
+    no group is sorted or collected, however many files one base has.
     """
     suffix = "|".join(e.replace(".", "[.]") for e in extensions)
     stem = F.regexp_extract("file_name", f"(?s)^(.*)({suffix})$", 1)
-    stems = listing.select(stem.alias("stem")).where("stem != ''").distinct()
-    numbered = stems.select(
-        F.regexp_extract("stem", r"(?s)^(.+)_([1-9][0-9]{0,8})$", 1).alias("base"),
-        F.nullif(F.regexp_extract("stem", r"(?s)^(.+)_([1-9][0-9]{0,8})$", 2), F.lit("")).cast("int").alias("k"),
-    ).where("k IS NOT NULL")
-    files = stems.select(F.col("stem").alias("base"), F.lit(0).alias("k")).unionByName(numbered)
-    last = files.join(files.select("base", (F.col("k") - 1).alias("k")), ["base", "k"], "left_anti")
-    # a base counts only if the plain file exists; runs that do not start at 0 end before it
-    first = stems.select(F.col("stem").alias("base"))
-    ends = last.groupBy("base").agg((F.min("k") + 1).cast("int").alias("files"))
-    return ends.join(first, "base", "left_semi")
+    numbered = r"(?s)^(.+)_([1-9][0-9]{0,8})$"
+    base, k = F.regexp_extract("stem", numbered, 1), F.regexp_extract("stem", numbered, 2)
+
+    def says(base: Column, k: Column, exists: bool) -> Column:
+        return F.struct(base.alias("base"), k.alias("k"), F.lit(exists).alias("here"), F.lit(not exists).alias("more"))
+
+    number = F.nullif(k, F.lit("")).cast("int")
+    facts = F.array_compact(
+        F.array(
+            says(F.col("stem"), F.lit(0), True),
+            F.when(number.isNotNull(), says(base, number, True)),
+            F.when(number.isNotNull(), says(base, number - 1, False)),
+        )
+    )
+    numbers = listing.select(stem.alias("stem")).where("stem != ''").select(F.inline(facts))
+    numbers = numbers.groupBy("base", "k").agg(F.max("here").alias("here"), F.max("more").alias("more"))
+    ends = F.min(F.when(F.col("here") & ~F.col("more"), F.col("k") + 1)).alias("files")
+    plain = F.max(F.col("here") & (F.col("k") == 0)).alias("plain")
+    return numbers.groupBy("base").agg(ends, plain).where("plain").select("base", "files")
 
 
 def media_counts(

@@ -32,34 +32,60 @@ def column_name(tag: str, code: str) -> str:
     return f"new_{tag}_{code.replace('.', 'dot')}"
 
 
+def _firsts(subfields: Column) -> Column:
+    """The first non-empty subfield of each code, of one field's subfields in order."""
+
+    def is_first(s: Column, i: Column) -> Column:
+        earlier = F.slice(subfields, 1, i)
+        return (s["value"] != "") & ~F.exists(earlier, lambda e: (e["code"] == s["code"]) & (e["value"] != ""))
+
+    return F.filter(subfields, is_first)
+
+
 def tagged_pivot(tagged: DataFrame, spec: Sequence[FieldSpec], single: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """One column per (tag, code): the occurrences' first values joined with `` | ``; absent -> empty.
+    """One row per record, one column per (tag, code): the occurrences' first values joined with
+    `` | ``; absent -> empty.
 
     ``whole field`` adds ``new_<tag>_full``: all text of each occurrence. ``single`` subfields are
-    taken from the first occurrence only.
+    taken from the first occurrence of the field only. One pass: subfields meet in their field, the
+    field yields its cells, the cells meet by (record, column), then by record.
     """
     tags = sorted({tag for tag, _, _ in spec} | {tag for tag, _ in single})
-    rows = tagged.where(F.col("tag").isin(tags))
-    named = F.concat(F.lit("new_"), F.col("tag"), F.lit("_"), F.replace("code", F.lit("."), F.lit("dot")))
     wanted = [column_name(tag, code) for tag, codes, _ in spec for code in codes]
     once = [column_name(tag, code) for tag, code in single]
-
-    values = first_values(rows).withColumn("name", named)
-    cells = values.where(F.col("name").isin(wanted)).groupBy("rec_id", "name").agg(_joined(["occ"], "value", " | ").alias("cell"))
-    if once:
-        # of the first occurrence of the field, not of the subfield
-        first_occ = rows.groupBy("rec_id", "tag").agg(F.min("occ").alias("occ"))
-        firsts = values.where(F.col("name").isin(once)).join(first_occ, ["rec_id", "tag", "occ"], "left_semi")
-        cells = cells.unionByName(firsts.select("rec_id", "name", F.col("value").alias("cell")))
     whole = [tag for tag, _, full in spec if full]
-    if whole:
-        fields = rows.where(F.col("tag").isin(whole)).groupBy("rec_id", "tag", "occ").agg(_joined(["pos", "code"], "value", " ").alias("text"))
-        full = fields.where("text != ''").groupBy("rec_id", "tag").agg(_joined(["occ"], "text", " | ").alias("cell"))
-        full = full.select("rec_id", F.concat(F.lit("new_"), "tag", F.lit("_full")).alias("name"), "cell")
-        cells = cells.unionByName(full)
+
+    # rows of other tags only say that the record exists
+    known = F.col("tag").isin(tags)
+    fields = spread_small(tagged).groupBy(
+        "rec_id", F.when(known, F.col("tag")).alias("tag"), F.when(known, F.col("occ")).alias("occ")
+    ).agg(F.sort_array(F.collect_list(F.when(known, F.struct("pos", "code", "value")))).alias("subfields"))
+
+    def cell(name: Column, text: Column) -> Column:
+        return F.struct(name.alias("name"), text.alias("text"))
+
+    def named(s: Column) -> Column:
+        return F.concat(F.lit("new_"), F.col("tag"), F.lit("_"), F.replace(s["code"], F.lit("."), F.lit("dot")))
+
+    fields = fields.withColumn("firsts", _firsts(F.col("subfields")))
+    cells = F.filter(F.transform("firsts", lambda s: cell(named(s), s["value"])), lambda x: x["name"].isin(wanted))
+    text = F.array_join(F.transform("subfields", lambda s: s["value"]), " ")
+    full = F.when(F.col("tag").isin(whole) & (text != ""), cell(F.concat(F.lit("new_"), "tag", F.lit("_full")), text))
+
+    def once_cell(tag: str, code: str) -> Column:
+        value = F.get(F.filter("firsts", lambda s: s["code"] == code), F.lit(0))["value"]
+        return F.when(F.col("tag") == tag, cell(F.lit(column_name(tag, code)), F.coalesce(value, F.lit(""))))
+
+    more = [full, *[once_cell(tag, code) for tag, code in single]]
+    cells = fields.select("rec_id", "occ", F.inline_outer(F.concat(cells, F.array_compact(F.array(*more)))))
+
+    joined = F.when(F.col("name").isin(once), F.min_by("text", "occ")).otherwise(_joined(["occ"], "text", " | "))
+    cells = cells.groupBy("rec_id", "name").agg(joined.alias("cell"))
     columns = wanted + once + [f"new_{tag}_full" for tag in whole]
-    wide = cells.groupBy("rec_id").pivot("name", columns).agg(F.first("cell"))
-    return wide.na.fill("", columns)
+    # a record's cells, at most one per column; ``pivot`` would test every column for every cell
+    table = F.map_from_entries(F.collect_list(F.when(F.col("name").isNotNull(), F.struct("name", "cell"))))
+    records = cells.groupBy("rec_id").agg(table.alias("cells"))
+    return records.select("rec_id", *[F.coalesce(F.try_element_at("cells", F.lit(c)), F.lit("")).alias(c) for c in columns])
 
 
 def joined_subject(tagged: DataFrame, tag: str = "650", codes: Sequence[str] = ("a", "x")) -> DataFrame:

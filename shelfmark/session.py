@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key even when that costs one more exchange further up
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # collect_list and the like keep hashing up to this many groups per task before they sort
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
