@@ -17,13 +17,13 @@ from shelfmark.session import cut_lineage
 SLICE, ROW = "_slice", "_row"
 
 
-def ordered_slices(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+def ordered_slices(df: DataFrame, order: Sequence[Column], keep: Sequence[str] = ("*",)) -> DataFrame:
     """Sort globally; add the slice number and the row number within the slice (from 0).
 
     ``order`` must end in a unique key, so that equal leading values can be spread over slices.
     """
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ordered = df.orderBy(*order).select("*", F.spark_partition_id().alias(SLICE), row.alias(ROW))
+    ordered = df.orderBy(*order).select(*keep, F.spark_partition_id().alias(SLICE), row.alias(ROW))
     return cut_lineage(ordered)
 
 
@@ -43,15 +43,13 @@ def assign_ids(
     the ids are then joined to the rows. Without it the whole rows are.
     """
     columns = [c for c in df.columns if c != name]
-    if key is not None:
-        sorted_by = {f"_order{i}": column for i, column in enumerate(order)}
-        narrow = df.select(*key, *[column.alias(c) for c, column in sorted_by.items()])
-        ids = assign_ids(narrow, [F.col(c) for c in sorted_by], name).select(name, *key)
-        return df.drop(name).join(ids, list(key)).select(name, *columns)
-    slices = ordered_slices(df, order)
+    slices = ordered_slices(df, order, key or ("*",))
     # one offset row per slice: bounded by the number of shuffle partitions
     numbered = slices.join(F.broadcast(_slice_offsets(slices)), SLICE)
-    return numbered.select((F.col("_offset") + F.col(ROW) + 1).alias(name), *columns)
+    numbered = numbered.withColumn(name, F.col("_offset") + F.col(ROW) + 1)
+    if key is not None:
+        return df.drop(name).join(numbered.select(name, *key), list(key)).select(name, *columns)
+    return numbered.select(name, *columns)
 
 
 def index_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:

@@ -10,14 +10,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.functions.fixed import GAP_COLUMNS
 from shelfmark.operators import compare, media, merge, quality
 from shelfmark.operators.shape import clean_strings, select_existing
 from shelfmark.operators.unify import SourceLabels
-from shelfmark.functions.fixed import GAP_COLUMNS
 from shelfmark.plans.daily import dashboard, snapshot_metrics
 from shelfmark.plans.gold import normalize_catalog, unify_catalog
 from shelfmark.plans.silver import DEFAULT_CREDIT, library_silver, museum_silver
-from shelfmark.sources.files import has_full_extract, path_exists, read_deltas, replace_table
+from shelfmark.sources.files import delta_batches, is_full_extract, path_exists, read_deltas, remove_paths, replace_table
 from shelfmark.sources.registry import Layout, publish_views
 
 
@@ -39,14 +39,23 @@ def incremental_extract(spark: SparkSession, source: DataFrame, state: str, targ
     return True
 
 
-def merge_deltas(spark: SparkSession, layout: Layout, folder: str, row: str, roles=(), credit: str = DEFAULT_CREDIT) -> None:
-    """Upsert the change batches of a folder into the museum's silver table."""
-    deltas = read_deltas(spark, folder)
+def merge_deltas(
+    spark: SparkSession, layout: Layout, folder: str, row: str, roles=(), credit: str = DEFAULT_CREDIT, remove: bool = False
+) -> None:
+    """Upsert the change batches of a folder into the museum's silver table.
+
+    ``remove`` deletes the batches once the table is published. Merging one twice does no harm.
+    """
+    batches = delta_batches(spark, folder)
+    if not batches:
+        return
     path = layout.path("museum_silver")
     master = spark.read.parquet(path) if path_exists(spark, path) else None
-    full = has_full_extract(deltas)
-    clean = museum_silver(deltas.drop("_file"), roles, credit)
+    clean = museum_silver(read_deltas(spark, batches), roles, credit)
+    full = any(is_full_extract(b) for b in batches)
     replace_table(merge.upsert_latest(master, clean, "_batch_time", row, full), path)
+    if remove:
+        remove_paths(spark, batches)
 
 
 def check_museum(spark: SparkSession, layout: Layout) -> None:

@@ -30,19 +30,30 @@ def read_columns(spark: SparkSession, path: str, wanted: Sequence[str]) -> DataF
     return select_existing(spark.read.parquet(path), wanted)
 
 
-def read_deltas(spark: SparkSession, folder: str) -> DataFrame:
-    """All change batches of a folder as one table, with their file name and time."""
-    rows = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet").parquet(folder)
-    return rows.select(
-        "*",
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.file_modification_time").alias("_batch_time"),
-    )
+def delta_batches(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the change batches (``full_extract_*`` or ``delta_*``, files or folders), by name."""
+    fs, root = _hadoop(spark, folder)
+    if not fs.exists(root):
+        return []
+    paths = [status.getPath() for status in fs.listStatus(root)]
+    return sorted(p.toString() for p in paths if p.getName().startswith(("full_extract_", "delta_")))
+
+
+def read_deltas(spark: SparkSession, batches: Sequence[str]) -> DataFrame:
+    """The change batches as one table, with the time each was written."""
+    rows = spark.read.option("mergeSchema", True).parquet(*batches)
+    return rows.select("*", F.col("_metadata.file_modification_time").alias("_batch_time"))
+
+
+def is_full_extract(batch: str) -> bool:
+    """A full extract replaces the master."""
+    return batch.rsplit("/", 1)[-1].startswith("full_extract_")
 
 
-def has_full_extract(deltas: DataFrame) -> bool:
-    """True if any batch is a full extract, which replaces the master."""
-    return not deltas.where(F.col("_file").startswith("full_extract_")).isEmpty()
+def remove_paths(spark: SparkSession, paths: Sequence[str]) -> None:
+    for path in paths:
+        fs, target = _hadoop(spark, path)
+        fs.delete(target, True)
 
 
 def _hadoop(spark: SparkSession, path: str):

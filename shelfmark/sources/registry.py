@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from shelfmark.sources.files import _hadoop, path_exists
@@ -50,6 +51,11 @@ def publish_views(spark: SparkSession, layout: Layout) -> list[str]:
             name = status.getPath().getName()
             if name.startswith("history_"):
                 found[name] = f"{snapshots}/{name}"
+    published = []
     for name, path in found.items():
-        spark.read.parquet(path).createOrReplaceTempView(name)
-    return sorted(found)
+        try:
+            spark.read.parquet(path).createOrReplaceTempView(name)
+        except AnalysisException:  # a history without a row yet has no schema
+            continue
+        published.append(name)
+    return sorted(published)
