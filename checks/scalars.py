@@ -17,11 +17,11 @@ c = F.col
 
 
 def field(name: str, source: str, body: str, **columns) -> None:
-    """A projection of the record id and computed columns."""
+    """A projection of the record id and computed columns (built when the query runs)."""
 
     @query(name, source, body)
     def _(spark, sf):
-        return view(spark, sf, source).select("record_id", *[e.alias(n) for n, e in columns.items()])
+        return view(spark, sf, source).select("record_id", *[e().alias(n) for n, e in columns.items()])
 
 
 WEB_IDS = "SELECT record_id, {} AS norm_id FROM (SELECT record_id, field_identifier FROM mus UNION ALL SELECT record_id + 100000000, field_identifier FROM lib UNION ALL SELECT node_id + 200000000, field_identifier FROM web)"
@@ -36,35 +36,35 @@ def _(spark, sf):
 
 
 field("media_filename", "lib", f"SELECT record_id, coalesce({sql.media_name(sql.primary('field_identifier'))}, '') AS media_file FROM lib",
-      media_file=identifiers.media_filename(c("field_identifier")))
+      media_file=lambda: identifiers.media_filename(c("field_identifier")))
 field("clean_extent", "mus", f"SELECT record_id, {sql.extent('field_extent')} AS extent FROM mus",
-      extent=silver.clean_extent(c("field_extent")))
+      extent=lambda: silver.clean_extent(c("field_extent")))
 field("edtf_date", "mus", f"SELECT record_id, {sql.edtf('original_date')} AS edtf FROM mus",
-      edtf=silver.edtf_date(c("original_date")))
+      edtf=lambda: silver.edtf_date(c("original_date")))
 field("edtf_display", "mus", f"SELECT record_id, {sql.edtf_display(sql.edtf('original_date'))} AS display FROM mus",
-      display=silver.edtf_display(silver.edtf_date(c("original_date"))))
+      display=lambda: silver.edtf_display(silver.edtf_date(c("original_date"))))
 field("marc_date_clean", "lib", f"SELECT record_id, {sql.marc_date('new_264_c', 'new_260_c')} AS date_created FROM lib",
-      date_created=silver.marc_date(c("new_264_c"), c("new_260_c")))
+      date_created=lambda: silver.marc_date(c("new_264_c"), c("new_260_c")))
 field("agent_roles", "mus", f"SELECT record_id, {sql.agents('field_linked_agent')} AS agents FROM mus",
-      agents=silver.agent_roles(c("field_linked_agent"), sql.ROLES))
+      agents=lambda: silver.agent_roles(c("field_linked_agent"), sql.ROLES))
 field("credit_line", "mus", f"SELECT record_id, {sql.credit('field_credit_line')} AS credit FROM mus",
-      credit=silver.credit_line(c("field_credit_line"), sql.CREDIT))
+      credit=lambda: silver.credit_line(c("field_credit_line"), sql.CREDIT))
 field("title_cut", "lib", f"SELECT record_id, {sql.title_cut('field_description_long')} AS short_title FROM lib",
-      short_title=text.title_cut(c("field_description_long")))
+      short_title=lambda: text.title_cut(c("field_description_long")))
 field("delimiter_rewrite", "mus",
       f"SELECT record_id, replace(field_place_published, '__', '|') AS place, {sql.subject_tag('field_subject')} AS subject, replace(field_linked_agent, '||', '|') AS form FROM mus",
-      place=text.place_delimiter(c("field_place_published")), subject=text.subject_delimiter(c("field_subject")),
-      form=text.form_delimiter(c("field_linked_agent")))
+      place=lambda: text.place_delimiter(c("field_place_published")), subject=lambda: text.subject_delimiter(c("field_subject")),
+      form=lambda: text.form_delimiter(c("field_linked_agent")))
 field("merge_columns", "flat",
       f"SELECT record_id, nullif(concat_ws(' | ', {sql.clean('new_260_b')}, {sql.clean('new_100_a')}, {sql.clean('new_245_b')}), '') AS agents FROM flat",
-      agents=text.merge_columns([c("new_260_b"), c("new_100_a"), c("new_245_b")]))
+      agents=lambda: text.merge_columns([c("new_260_b"), c("new_100_a"), c("new_245_b")]))
 field("compose_text", "flat",
       f"""SELECT record_id, {sql.strip("coalesce(new_245_a, '') || ' ' || coalesce(new_245_b, '')")} AS title,
           {sql.strip(r"trim(regexp_replace(concat_ws(', ', coalesce(new_300_a, ''), coalesce(new_300_b, ''), coalesce(new_300_c, '')), ',\s*,', ',', 'g'), ', ')")} AS extent FROM flat""",
-      title=text.compose_title(c("new_245_a"), c("new_245_b")),
-      extent=text.compose_extent(c("new_300_a"), c("new_300_b"), c("new_300_c")))
+      title=lambda: text.compose_title(c("new_245_a"), c("new_245_b")),
+      extent=lambda: text.compose_extent(c("new_300_a"), c("new_300_b"), c("new_300_c")))
 field("fixed_substr", "flat", "SELECT record_id, substr(new_008_ctrl, 16, 3) AS three_letter_code FROM flat",
-      three_letter_code=F.substring("new_008_ctrl", 16, 3))
+      three_letter_code=lambda: F.substring("new_008_ctrl", 16, 3))
 
 
 def _stripped(column: str, target: str):
@@ -129,7 +129,7 @@ def _(spark, sf):
 
 field("null_clean", "mus",
       f"SELECT record_id, {sql.clean('field_genre')} AS genre, nullif({sql.clean('field_credit_line')}, 'nan') AS credit FROM mus",
-      genre=text.null_clean(c("field_genre")), credit=text.null_clean(c("field_credit_line"), ["nan"]))
+      genre=lambda: text.null_clean(c("field_genre")), credit=lambda: text.null_clean(c("field_credit_line"), ["nan"]))
 
 SHELF = f"CASE WHEN {sql.strip('location')} IN ({', '.join(map(sql.lit, fixed.REFERENCE_SHELVES))}) THEN 'Reference' ELSE {sql.strip('location')} END"
 

@@ -178,12 +178,20 @@ def _(spark, sf):
     return search.dossier_member(base.gold(spark, sf), "field_subject", "Subject 3").select("id", "title")
 
 
-@query("dossier_contains", "gold", "SELECT id, title, count(*) OVER () AS total FROM gold WHERE field_linked_agent LIKE '%Brand#2%'")
+@query("dossier_contains", "gold", "SELECT id, title FROM gold WHERE field_linked_agent LIKE '%Brand#2%'")
+def _(spark, sf):
+    return search.dossier_contains(base.gold(spark, sf), "field_linked_agent", "Brand#2").select("id", "title")
+
+
+@query("dossier_total", "gold", "SELECT count(*) AS total FROM gold WHERE field_linked_agent LIKE '%Brand#2%'")
+def _(spark, sf):
+    return search.dossier_contains(base.gold(spark, sf), "field_linked_agent", "Brand#2").agg(F.count("*").alias("total"))
+
+
+@query("dossier_page", "gold", "SELECT id, title FROM gold WHERE field_linked_agent LIKE '%Brand#2%' ORDER BY has_image DESC, title ASC NULLS LAST, id LIMIT 48")
 def _(spark, sf):
     found = search.dossier_contains(base.gold(spark, sf), "field_linked_agent", "Brand#2")
-    total = found.agg(F.count("*").alias("total"))
-    # one total row next to every record of the dossier
-    return found.select("id", "title", F.lit(1).alias("_one")).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    return search.dossier_page(found, 48).select("id", "title")
 
 
 def _has(term: str, folded: str | None = None) -> str:

@@ -283,12 +283,13 @@ def named_collection(catalog: DataFrame, words: Sequence[str], source: str, pref
 
 
 def dossier_member(catalog: DataFrame, column: str, value: str) -> DataFrame:
-    """Records with ``value`` in the delimited column, with the total on every row."""
+    """Records with ``value`` as one of the delimited column's values."""
     listed = F.transform(split_literal(F.col(column), "|"), strip)
     return catalog.where(F.array_contains(listed, F.lit(value)))
 
 
 def dossier_contains(catalog: DataFrame, column: str, value: str) -> DataFrame:
+    """Records with ``value`` anywhere in the column; count them for the total."""
     return catalog.where(F.col(column).contains(value))
 
 
