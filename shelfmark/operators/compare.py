@@ -16,7 +16,7 @@ from shelfmark.operators.unify import SourceLabels, identifier_parts
 def _published_keys(published: DataFrame) -> DataFrame:
     """Distinct normal-form identifiers of the public archive."""
     key = normalize_identifier(F.col("field_identifier"))
-    return published.select(key.alias("norm_id")).where("norm_id IS NOT NULL").distinct()
+    return published.where("field_identifier IS NOT NULL").select(key.alias("norm_id")).distinct()
 
 
 def gap_report(catalog: DataFrame, published: DataFrame, row_key: str) -> DataFrame:

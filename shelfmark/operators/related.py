@@ -63,9 +63,11 @@ def related_records(catalog: DataFrame, key: str, n: int = 4) -> DataFrame:
 
     wanted = catalog.select(key, F.explode(match_keys(F.slice(subjects, 1, 1))).alias("_match"))
     pairs = wanted.join(candidates, "_match").where(F.col(key) != F.col("related_key"))
-    pairs = pairs.select(key, "related_key", "related_identifier").distinct()
+    # a pair can come from several match keys: equal rows share a dense rank, so they are merged
+    # after the cut, in the partitioning the window already has
     best = Window.partitionBy(key).orderBy("related_identifier", "related_key")
-    return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
+    ranked = pairs.select(key, "related_key", "related_identifier", F.dense_rank().over(best).alias("rank"))
+    return ranked.where(F.col("rank") <= n).distinct()
 
 
 def graph_expand(catalog: DataFrame, nodes: DataFrame, key: str = "id", n: int = 10) -> DataFrame:

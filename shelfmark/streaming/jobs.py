@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark.functions.fixed import ALERT_IGNORES, ALERT_WORDS
-from shelfmark.operators.merge import upsert_latest
+from shelfmark.operators.merge import spread_nulls, upsert_key, upsert_latest
 from shelfmark.operators.metrics import request_metrics
+from shelfmark.session import cut_lineage
 from shelfmark.sources.files import REQUEST_LOG, path_exists, replace_table
 
 
@@ -89,3 +90,39 @@ def start_upsert(
 
     writer = deltas.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
+
+
+BUCKET = "key_bucket"
+
+
+def merge_into_buckets(batch: DataFrame, target: str, batch_time: str, row: str, buckets: int = 256) -> None:
+    """Upsert a batch into a table partitioned by key bucket, rewriting only the buckets it touches.
+
+    The merged rows are checkpointed before they replace the buckets they were read from. If the
+    job dies while buckets are replaced, merging the same batch again gives the same table.
+    """
+    spark = batch.sparkSession
+    # rows without a key are spread over the buckets
+    key = spread_nulls(upsert_key(batch).cast("string"), F.col(row))
+    fresh = batch.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    touched = [r[BUCKET] for r in fresh.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+    if not touched:
+        return
+    master = None
+    if path_exists(spark, target):
+        master = spark.read.parquet(target).where(F.col(BUCKET).isin(touched))
+    merged = cut_lineage(upsert_latest(master, fresh, batch_time, row))
+    writer = merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(BUCKET).parquet(target)
+
+
+def start_bucket_upsert(
+    deltas: DataFrame, target: str, checkpoint: str, batch_time: str, row: str, buckets: int = 256
+) -> StreamingQuery:
+    """As ``start_upsert``, for tables too large to rewrite with every batch."""
+
+    def merge(batch: DataFrame, _: int) -> None:
+        merge_into_buckets(batch, target, batch_time, row, buckets)
+
+    writer = deltas.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
