@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.identifiers import normalize_identifier, simple_key
 from shelfmark.functions.similarity import jaro_winkler
-from shelfmark.operators.merge import keep_one, spread_nulls
+from shelfmark.operators.merge import keep_one, lookup_join, spread_nulls
 from shelfmark.operators.unify import SourceLabels, identifier_parts
 
 
@@ -26,14 +26,15 @@ def gap_report(catalog: DataFrame, published: DataFrame, row_key: str) -> DataFr
     pile up in one join task.
     """
     key = spread_nulls(normalize_identifier(F.col("field_identifier")), F.col(row_key))
-    return catalog.withColumn("norm_id", key).join(_published_keys(published), "norm_id", "left_anti").drop("norm_id")
+    keyed = catalog.withColumn("norm_id", key)
+    return lookup_join(keyed, _published_keys(published), ["norm_id"], "left_anti").drop("norm_id")
 
 
 def compare_left(records: DataFrame, published: DataFrame, row_key: str) -> DataFrame:
     """Records with ``exists``: ``both`` if published, else ``left_only``."""
     key = spread_nulls(normalize_identifier(F.col("field_identifier")), F.col(row_key))
     found = _published_keys(published).withColumn("_found", F.lit(True))
-    joined = records.withColumn("norm_id", key).join(found, "norm_id", "left")
+    joined = lookup_join(records.withColumn("norm_id", key), found, ["norm_id"], "left")
     exists = F.when(F.col("_found"), "both").otherwise("left_only").alias("exists")
     return joined.select(*records.columns, exists)
 
@@ -107,7 +108,7 @@ def duplicates_report(museum: DataFrame, library: DataFrame, labels: SourceLabel
     shared = identifier_parts(museum).intersect(identifier_parts(library))
     rows = None
     for label, df in parts.items():
-        hit = df.join(shared, "match_id", "left_semi").withColumn("source_system", F.lit(label))
+        hit = lookup_join(df, shared, ["match_id"], "left_semi").withColumn("source_system", F.lit(label))
         rows = hit if rows is None else rows.unionByName(hit)
     report = rows.select("match_id", "source_system", "field_identifier", "title")
     return report.orderBy(F.asc("match_id"), F.desc("source_system"), "field_identifier", "title")

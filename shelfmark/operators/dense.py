@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.operators.merge import lookup_join
 from shelfmark.session import cut_lineage
 
 SLICE, ROW = "_slice", "_row"
@@ -56,7 +57,7 @@ def index_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     """Row number (from 0) within a group, for groups too large for one task."""
     ids = assign_ids(df, [F.col(c) for c in group] + list(order), "_position")
     first = ids.groupBy(*group).agg(F.min("_position").alias("_first"))
-    joined = ids.join(first, list(group))
+    joined = lookup_join(ids, first, list(group))
     return joined.select(*df.columns, (F.col("_position") - F.col("_first")).alias(name))
 
 

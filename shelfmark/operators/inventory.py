@@ -24,11 +24,12 @@ def inventory_join(
 ) -> DataFrame:
     """Left join to the first item per record: presence flag, shelf location, collection type.
 
-    The item side has one row per record, so a record can only meet one of them.
+    The item side has one row per record, so a record can only meet one of them. Its key is a new
+    column for the reason given at ``lookup_join``.
     """
     first = first_item(items.select(item_key, item_order, item_location), item_key, item_order)
     right = first.select(
-        F.col(item_key).cast("string").alias("_item"), shelf_location(F.col(item_location)).alias("location")
+        F.concat(F.col(item_key).cast("string"), F.lit("")).alias("_item"), shelf_location(F.col(item_location)).alias("location")
     )
     key = spread_nulls(F.col(record_key).cast("string"), F.xxhash64(*records.columns))
     joined = records.drop("location").withColumn("_key", key).join(right, F.col("_key") == F.col("_item"), "left")

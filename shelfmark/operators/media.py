@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import fixed
 from shelfmark.functions.identifiers import legacy_media_name, media_filename, media_name, media_parts, normalize_name
 from shelfmark.operators.dense import index_in_group
+from shelfmark.operators.merge import lookup_join
 
 
 @dataclass(frozen=True)
@@ -65,14 +66,15 @@ def media_audit(
 
     Only keys travel to the listings; just the hits are joined back to the records.
     """
-    hits = _searched(records, roots, row_key).join(_folders(folders), ["subdir", "folder_key"])
+    hits = lookup_join(_searched(records, roots, row_key), _folders(folders), ["subdir", "folder_key"])
     path = F.min_by(F.concat_ws("/", "subdir", "folder"), F.struct("pos", "rank"))
     raw = hits.groupBy(row_key).agg(path.alias("raw_path"))
 
     names = record_parts(records, row_key).select(
         row_key, F.concat(media_name(F.col("part")), F.lit(".jpg")).alias("file_name")
     )
-    done = names.join(processed.select("file_name").distinct(), "file_name", "left_semi").select(row_key).distinct()
+    done = lookup_join(names, processed.select("file_name").distinct(), ["file_name"], "left_semi")
+    done = done.select(row_key).distinct()
 
     joined = records.join(raw, row_key, "left").join(done.withColumn("_done", F.lit(True)), row_key, "left")
     return joined.select(
@@ -135,7 +137,7 @@ def media_counts(
 ) -> DataFrame:
     """Add ``<kind>_count`` and ``has_<kind>``, by the first identifier part that has a file."""
     parts = record_parts(records, row_key).select(row_key, "pos", media_name(F.col("part")).alias("base"))
-    found = parts.join(file_counts(listing, extensions), "base")
+    found = lookup_join(parts, file_counts(listing, extensions), ["base"])
     found = found.groupBy(row_key).agg(F.min_by("files", "pos").alias("_files"))
     count = F.coalesce("_files", F.lit(0)).cast("int")
     joined = records.join(found, row_key, "left")
@@ -147,7 +149,8 @@ def has_media_flag(records: DataFrame, listing: DataFrame, row_key: str, extensi
     usable = F.length(F.trim(F.substring_index("field_identifier", ";", 1))) <= fixed.MAX_MEDIA_NAME
     name = F.when(usable, F.concat(media_filename(F.col("field_identifier")), F.lit(extension)))
     files = listing.select(F.col("file_name").alias("_file")).distinct()
-    hits = records.select(row_key, name.alias("_file")).where("_file IS NOT NULL").join(files, "_file", "left_semi")
+    named = records.select(row_key, name.alias("_file")).where("_file IS NOT NULL")
+    hits = lookup_join(named, files, ["_file"], "left_semi")
     flags = hits.select(row_key, F.lit(True).alias("_hit"))
     joined = records.drop("has_image").join(flags, row_key, "left")
     return joined.withColumn("has_image", F.coalesce("_hit", F.lit(False))).drop("_hit")
@@ -177,7 +180,7 @@ def net_new_media(
         [F.col("file_name"), F.col("folder")],
         "n",
     )
-    choice = _searched(records, roots, row_key).join(_folders(usable), ["subdir", "folder_key"])
+    choice = lookup_join(_searched(records, roots, row_key), _folders(usable), ["subdir", "folder_key"])
     choice = choice.groupBy(row_key, "pos", "part", "folder_key").agg(F.min_by("subdir", "rank").alias("subdir"))
     number = F.when(F.col("n") == 0, "").otherwise(F.concat(F.lit("_"), F.col("n").cast("string")))
     planned = choice.join(numbered, ["subdir", "folder_key"]).select(

@@ -19,6 +19,19 @@ def spread_nulls(key: Column, row_key: Column) -> Column:
     return F.coalesce(key, F.concat(F.lit("\u0000"), row_key.cast("string")))
 
 
+def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join to a side that has one row, or a few, per key, where ``left`` may have a hot key.
+
+    Spark splits a hot key at run time only between two shuffles. A deduplicated side is already
+    partitioned by its key and would skip its shuffle, so its key is made a new column here; that
+    costs one more shuffle of the small rows and lets the hot key be split.
+    """
+    fresh = {k: F.concat(F.col(k).cast("string"), F.lit("")) for k in keys}
+    other = right.select(*[fresh[c].alias(f"_join_{c}") if c in fresh else F.col(c) for c in right.columns])
+    condition = reduce(lambda a, b: a & b, [F.col(k).cast("string") == F.col(f"_join_{k}") for k in keys])
+    return left.join(other, condition, how).drop(*[f"_join_{k}" for k in keys])
+
+
 def keep_one(
     df: DataFrame, keys: Sequence[Column], order: Sequence[Column], collapse_null_keys: bool = False
 ) -> DataFrame:
@@ -88,14 +101,14 @@ def replace_day(history: DataFrame, fresh: DataFrame, day: str, column: str = "s
 
 def collection_add(collection: DataFrame, items: DataFrame, key: str = "field_identifier") -> DataFrame:
     """Append the items that are not in the collection yet."""
-    return collection.unionByName(items.join(collection.select(key).distinct(), key, "left_anti"))
+    return collection.unionByName(lookup_join(items, collection.select(key).distinct(), [key], "left_anti"))
 
 
 def collection_remove(collection: DataFrame, items: DataFrame, key: str = "field_identifier") -> DataFrame:
-    return collection.join(items.select(key).distinct(), key, "left_anti")
+    return lookup_join(collection, items.select(key).distinct(), [key], "left_anti")
 
 
 def collection_contains(items: DataFrame, collection: DataFrame, key: str = "field_identifier") -> DataFrame:
     """Items with a membership flag."""
     members = collection.select(key).distinct().withColumn("in_collection", F.lit(True))
-    return items.join(members, key, "left").withColumn("in_collection", F.coalesce("in_collection", F.lit(False)))
+    return lookup_join(items, members, [key], "left").withColumn("in_collection", F.coalesce("in_collection", F.lit(False)))

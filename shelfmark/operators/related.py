@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.identifiers import has_part
 from shelfmark.functions.text import parse_subjects, strip
+from shelfmark.operators.merge import lookup_join
 from shelfmark.operators.sample import sample_n
 from shelfmark.operators.search import record_lookup
 
@@ -62,7 +63,7 @@ def related_records(catalog: DataFrame, key: str, n: int = 4) -> DataFrame:
     candidates = candidates.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= n + 1).drop("_r")
 
     wanted = catalog.select(key, F.explode(match_keys(F.slice(subjects, 1, 1))).alias("_match"))
-    pairs = wanted.join(candidates, "_match").where(F.col(key) != F.col("related_key"))
+    pairs = lookup_join(wanted, candidates, ["_match"]).where(F.col(key) != F.col("related_key"))
     # a pair can come from several match keys: equal rows share a dense rank, so they are merged
     # after the cut, in the partitioning the window already has
     best = Window.partitionBy(key).orderBy("related_identifier", "related_key")
@@ -85,7 +86,7 @@ def graph_expand(catalog: DataFrame, nodes: DataFrame, key: str = "id", n: int =
         "_r",
     )
     wanted = nodes.select(F.col("field_identifier").alias("node"), F.col("field_linked_agent").alias("creator")).distinct()
-    pairs = wanted.join(leading, "creator").where(F.col("node") != F.col("related_identifier"))
+    pairs = lookup_join(wanted, leading, ["creator"]).where(F.col("node") != F.col("related_identifier"))
     # of n+1 candidates without the node itself, n are left, or one too many
     within = Window.partitionBy("node", "creator").orderBy("_r")
     kept = pairs.withColumn("_k", F.row_number().over(within)).where(F.col("_k") <= n)

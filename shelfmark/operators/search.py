@@ -14,7 +14,7 @@ from shelfmark.functions import fixed
 from shelfmark.functions.identifiers import has_part
 from shelfmark.functions.text import split_literal, strip
 from shelfmark.functions.unicode import fold_text
-from shelfmark.operators.merge import keep_one
+from shelfmark.operators.merge import keep_one, lookup_join
 from shelfmark.operators.shape import select_or_null
 from shelfmark.operators.unify import SourceLabels
 
@@ -138,7 +138,8 @@ def bulk_id_filter(catalog: DataFrame, uploaded: DataFrame, column: str = "field
     A semi join: Spark broadcasts the list while its measured size is small, else both sides shuffle.
     """
     wanted = uploaded.select(F.lower(F.col(column)).alias("_wanted")).distinct()
-    return catalog.join(wanted, F.lower(catalog["field_identifier"]) == F.col("_wanted"), "left_semi")
+    keyed = catalog.withColumn("_wanted", F.lower("field_identifier"))
+    return lookup_join(keyed, wanted, ["_wanted"], "left_semi").drop("_wanted")
 
 
 def rank_score(text: str) -> Column:

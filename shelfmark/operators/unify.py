@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.identifiers import has_any_part, split_ids
 from shelfmark.functions.text import strip
+from shelfmark.operators.merge import lookup_join
 
 
 @dataclass(frozen=True)
@@ -46,9 +47,8 @@ def mark_duplicates(library: DataFrame, museum: DataFrame, row_key: str) -> Data
     Only (row key, part) travels for the match; the records themselves meet just the rows that
     have a duplicate, usually few.
     """
-    shared = identifier_parts(library, row_key).join(
-        identifier_parts(museum).distinct(), "match_id", "left_semi"
-    )
+    held = identifier_parts(museum).distinct()
+    shared = lookup_join(identifier_parts(library, row_key), held, ["match_id"], "left_semi")
     # bounded by the number of parts of one record
     shared = shared.groupBy(row_key).agg(F.collect_set("match_id").alias("_shared"))
     joined = library.join(shared, row_key, "left")

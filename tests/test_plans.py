@@ -1,10 +1,12 @@
 """Physical plans: what must and what must not be in them."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from checks import base
 from checks.views import table, view
+from shelfmark.operators.media import media_counts
 from shelfmark.operators.merge import changed_since
 
 SF = "/root/testdata/sf0.001"
@@ -58,3 +60,29 @@ def test_scans_are_pruned_and_filtered(spark):
     extract = plan(changed_since(table(spark, SF, "orders"), "1997-01-01", "o_orderdate", "o_orderdate"))
     assert "PushedFilters: [Or(GreaterThan(o_orderdate" in extract or "GreaterThan(o_orderdate" in extract
     assert "html" not in plan(view(spark, SF, "web"))
+
+
+def test_hot_keys_are_split(spark):
+    """A third of the rows with one key: the join splits that key over several tasks."""
+    records = spark.range(0, 300000, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("field_identifier"),
+        F.repeat(F.lit("x"), 50).alias("title"))
+    listing = spark.range(2000).select(F.concat(F.lit("k"), F.col("id").cast("string"), F.lit(".jpg")).alias("file_name"))
+    listing = listing.union(spark.createDataFrame([("hot.jpg",), ("hot_1.jpg",)], "file_name string"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        counted = media_counts(records, listing, "id")
+        assert counted.where("image_count = 2").count() == 100000
+        counted = counted.select("id", "image_count")
+        counted.collect()
+        assert "skew=true" in plan(counted)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
