@@ -57,7 +57,7 @@ def test_expired_reports_are_deleted(spark, tmp_path):
 
 
 def test_quoted_csv_export(spark, tmp_path):
-    files.write_csv(spark.createDataFrame([('=IMAGE("u")', "")], "a string, b string"), str(tmp_path / "out"), quote_all=True)
+    files.write_csv(spark.createDataFrame([('=IMAGE("u")', "")], "a string, b string").coalesce(1), str(tmp_path / "out"), quote_all=True)
     written = next((tmp_path / "out").glob("*.csv")).read_text()
     assert written == '"a","b"\n"=IMAGE(""u"")",""\n'
 
