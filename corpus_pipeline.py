@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm.common import prepare, shared_dir
+from shelfmark.llm.decontaminate import without_contaminated
 from shelfmark.llm.mixing import mixed_documents
+from shelfmark.llm.near import one_per_class
 from shelfmark.llm.queries import END_MARK, RANKS, TOKENIZERS
 from shelfmark.llm.tokens import Vocabulary, materialise
 from shelfmark.llm.toxicity import train, with_toxicity
@@ -20,6 +22,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return with_toxicity(docs, model).where("predicted = 0").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group tied by word n-gram similarity of 0.8 or more."""
+    prepare(spark)
+    return one_per_class(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a ten-word window of any benchmark item."""
+    prepare(spark)
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, as often as it takes them."""
     prepare(spark)
@@ -34,6 +48,8 @@ def training_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("mixing", mixing),
     ("training_order", training_order),
 ]

@@ -76,6 +76,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def row_key() -> Column:
+    """A key of the row's id and text; rows alike in both share it."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.md5(F.concat_ws("|", doc_id, F.col("text")).cast("binary"))
+
+
 def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Dense row numbers from 0 over the whole table, without a single-task window.
 

@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import documents, held_out
+from shelfmark.llm.decontaminate import contamination
 from shelfmark.llm.language import identify_language
 from shelfmark.llm.mixing import mix
+from shelfmark.llm.near import jaccard_join
+from shelfmark.llm.pii import digest, sanitise
 from shelfmark.llm.repetition import with_repetition
 from shelfmark.llm.sharding import shard_documents
 from shelfmark.llm.tokens import Vocabulary, materialise
@@ -21,6 +24,10 @@ RANKS, END_MARK = "byte_bpe_50k.tiktoken", 50256
 SHARDS = 8
 
 
+def op1_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(sanitise(documents(spark, sf_dir)))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -33,6 +40,15 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return rows.drop("spans")
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(documents(spark, sf_dir)).drop("row_key", "has_words")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -52,8 +68,11 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sanitise": op1_sanitise,
     "op2_toxicity": op2_toxicity,
     "op3_language": op3_language,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
     "op9_training_order": op9_training_order,
