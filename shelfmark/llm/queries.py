@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import documents, held_out
 from shelfmark.llm.decontaminate import contamination
 from shelfmark.llm.language import identify_language
+from shelfmark.llm.lines import dedup_report
 from shelfmark.llm.mixing import mix
 from shelfmark.llm.near import jaccard_join
 from shelfmark.llm.pii import digest, sanitise
@@ -49,6 +50,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir)).drop("row_key", "has_words")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_report(documents(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_decontaminate": op4_decontaminate,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_line_dedup": op6_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
     "op9_training_order": op9_training_order,
