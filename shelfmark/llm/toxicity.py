@@ -13,10 +13,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import held_out
+from shelfmark.llm.common import cut, held_out
 
 SIZES = (4, 5, 6)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -154,19 +154,23 @@ def _logistic(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, steps: i
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """At most ``per_class`` labelled texts of each class outside the held-out fold, by content hash.
+    """At most ``per_class`` labelled texts of each class outside the held-out fold, by hash of the id.
 
-    Spark cuts each class to its first rows in every task before it shuffles.
+    The sample is chosen on ids alone; its texts are then read by a broadcast of those ids, of which
+    there are twice ``per_class`` at most.
     """
     marked = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id")
     marked = marked.agg((F.max("toxic") > 0).cast("int").alias("_toxic"))
-    texts = docs.where(F.length("text") > 0).select("doc_id", "text").join(marked, "doc_id")
-    order = Window.partitionBy("_toxic").orderBy(F.xxhash64("doc_id", "_toxic"), "doc_id")
-    rows = texts.withColumn("_n", F.row_number().over(order))
-    return rows.where(F.col("_n") <= per_class).select("text", "_toxic", "_n")
+    known = docs.where(F.length("text") > 0).select("doc_id").distinct().join(marked, "doc_id")
+    order = F.xxhash64("doc_id")
+    classes = [known.where(F.col("_toxic") == c).orderBy(order, "doc_id").limit(per_class) for c in (0, 1)]
+    chosen = cut(classes[0].union(classes[1]))
+    texts = docs.select("doc_id", "text").where(F.length("text") > 0).join(F.broadcast(chosen), "doc_id")
+    # an id that stands for several rows counts once; tasks merge theirs first
+    return texts.groupBy("doc_id", "_toxic").agg(F.min("text").alias("text"))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, **options) -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, **options) -> Model:
     """Fit in one task on ``training_sample``; only the model comes back.
 
     ``per_class`` bounds the sample: with its default and texts of a few kilobytes the task holds
@@ -174,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, **options)
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_toxic", "_n", "text"])
+        pdf = pdf.sort_values(["_toxic", "doc_id"])
         model = fit(list(pdf["text"]), list(pdf["_toxic"]), **options)
         return pd.DataFrame(
             {"grams": [model.grams.view(np.int64)], "weights": [model.weights], "bias": [model.bias]}
