@@ -2,7 +2,7 @@
 
 For every language a bounded sample of its texts serves as a raw-content zstandard dictionary. A text
 is encoded in pieces with each dictionary; the smallest total wins. Where the winner is hardly
-smaller than the next, the answer is marked as rejected.
+smaller than the next, the answer is marked as rejected. Letters are compared in lower case.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def learn_samples(df: DataFrame, per_language: int, sample_bytes: int) -> dict[s
     for r in rows.collect():  # at most per_language short stretches per language
         samples.setdefault(r["lang"], []).append((r["_n"], r["text"]))
     return {
-        lang: "\n".join(t for _, t in sorted(parts)).encode("utf-8")[:sample_bytes]
+        lang: "\n".join(t for _, t in sorted(parts)).lower().encode("utf-8")[:sample_bytes]
         for lang, parts in sorted(samples.items())
     }
 
@@ -60,7 +60,7 @@ class Classifier:
             )
 
     def sizes(self, text: str) -> np.ndarray:
-        data = text.encode("utf-8", "replace")
+        data = text.lower().encode("utf-8", "replace")
         pieces = [data[i : i + self.piece] for i in range(0, len(data), self.piece)]
         return np.array([sum(len(c.compress(p)) for p in pieces) for c in self.compressors], float)
 
@@ -78,7 +78,7 @@ class Classifier:
 
 
 def with_language(
-    df: DataFrame, samples: dict[str, bytes], margin: float = 0.01, level: int = 1, piece: int = 8192
+    df: DataFrame, samples: dict[str, bytes], margin: float = 0.01, level: int = 9, piece: int = 2048
 ) -> DataFrame:
     """Add ``lang_pred``, ``score`` (0 to 1) and ``rejected``.
 
