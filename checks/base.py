@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +12,7 @@ from checks.views import view
 from shelfmark.functions import silver, text
 from shelfmark.operators.media import media_counts
 from shelfmark.plans.gold import normalize_catalog, unify_catalog
-from shelfmark.session import checkpoint_dir, configure, spread_small
+from shelfmark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,7 +37,7 @@ def query(name: str, uses: str = "", body: str | None = None):
 def museum(spark: SparkSession, sf: str) -> DataFrame:
     """Museum view with the silver field rules applied."""
     c = F.col
-    return spread_small(view(spark, sf, "mus")).withColumns(
+    return view(spark, sf, "mus").withColumns(
         {
             "id": c("record_id") * 2 + 1,
             "title": text.title_cut(c("title")),
@@ -55,7 +53,7 @@ def museum(spark: SparkSession, sf: str) -> DataFrame:
 def library(spark: SparkSession, sf: str) -> DataFrame:
     """Library view with the silver field rules applied."""
     date = silver.marc_date(F.col("new_264_c"), F.col("new_260_c"))
-    df = spread_small(view(spark, sf, "lib")).withColumns({"id": F.col("record_id") * 2, "field_edtf_date_created": date})
+    df = view(spark, sf, "lib").withColumns({"id": F.col("record_id") * 2, "field_edtf_date_created": date})
     return df.drop("new_264_c", "new_260_c")
 
 
@@ -70,15 +68,9 @@ def gold_plan(spark: SparkSession, sf: str, with_ids: bool = False) -> DataFrame
     return counted.withColumns({"audio_count": F.lit(0), "has_audio": F.lit(False)})
 
 
-@lru_cache(maxsize=32)
-def _stored_gold(application: str, sf: str) -> str:
-    spark = SparkSession.active()
-    path = f"{checkpoint_dir(spark)}/gold-{uuid.uuid4().hex}"
-    gold_plan(spark, sf).write.parquet(path)
-    return path
-
-
 def gold(spark: SparkSession, sf: str) -> DataFrame:
-    """The gold table as dashboards and search read it: written once per session to the shared
-    folder, then scanned with column pruning and pushed-down filters."""
-    return spark.read.parquet(_stored_gold(spark.sparkContext.applicationId, sf))
+    """The gold catalogue as dashboards and search read it, computed from the driver's tables.
+
+    It is a plan: a query over few columns and records prunes the rest of the build.
+    """
+    return gold_plan(spark, sf)

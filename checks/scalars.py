@@ -201,14 +201,11 @@ def _(spark, sf):
 
 @query("record_card", "gold", f"""
 SELECT id, rank, label, value FROM (
-  SELECT id, unnest([{', '.join(f"{{'rank': {i}, 'label': {sql.lit(fixed.CARD_LABELS[n])}, 'value': CAST({n} AS VARCHAR)}}" for i, n in enumerate(
-      ['field_identifier', 'field_collection_type', 'field_extent', 'field_genre', 'field_description_long', 'field_linked_agent', 'field_subject',
-       'field_place_published', 'field_edtf_date_created', 'decade_created', 'field_credit_line']))}], recursive := true) FROM gold)
+  SELECT id, unnest([{', '.join(f"{{'rank': {i}, 'label': {sql.lit(label)}, 'value': CAST({n if n in sql.GOLD_KNOWN else 'NULL'} AS VARCHAR)}}"
+                               for i, (n, label) in enumerate((n, fixed.CARD_LABELS.get(n, n)) for n in fixed.CARD_ORDER))}], recursive := true) FROM gold)
 WHERE value IS NOT NULL AND value <> ''""")
 def _(spark, sf):
-    shown = ["field_identifier", "field_collection_type", "field_extent", "field_genre", "field_description_long", "field_linked_agent",
-             "field_subject", "field_place_published", "field_edtf_date_created", "decade_created", "field_credit_line"]
-    return shape.record_card(base.gold(spark, sf).select("id", *shown, "title", "has_image"), ["id"])
+    return shape.record_card(base.gold(spark, sf).select("id", *fixed.CARD_ORDER), ["id"])
 
 
 @query("media_variants", "gold", f"""

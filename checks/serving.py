@@ -78,11 +78,14 @@ def _(spark, sf):
     return metrics.system_health(base.gold(spark, sf))
 
 
-@query("total_scope", "mus lib web", " UNION ALL ".join(
+_SCOPE = {"Museum": ("mus", 11), "Library": ("lib", 12), "Archive": ("web", 4), "Items": ("items", 3), "Requests": ("requests", 5)}
+
+
+@query("total_scope", "mus lib web items requests", " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS total_records, {w}::BIGINT AS total_columns, count(*) * {w}::BIGINT AS total_values FROM {v}"
-    for n, v, w in (("Museum", "mus", 11), ("Library", "lib", 12), ("Archive", "web", 4))))
+    for n, (v, w) in _SCOPE.items()))
 def _(spark, sf):
-    return metrics.total_scope({"Museum": view(spark, sf, "mus"), "Library": view(spark, sf, "lib"), "Archive": view(spark, sf, "web")})
+    return metrics.total_scope({n: view(spark, sf, v) for n, (v, _) in _SCOPE.items()})
 
 
 @query("top_values", "gold_text", "SELECT field_genre, count(*) AS count FROM gold_text WHERE field_genre IS NOT NULL GROUP BY ALL ORDER BY count DESC, field_genre LIMIT 5")
@@ -95,21 +98,30 @@ def _(spark, sf):
     return read_columns(spark, f"{sf}/documents.parquet", ["doc_id", "lang", "source", "absent_column"])
 
 
-@query("catalog_view", "gold", """
-SELECT id, field_identifier, title, source_system, has_image, image_count, year_created, CAST(NULL AS VARCHAR) AS location FROM gold
+_EXPLORER = sql.columns(
+    [n for n in fixed.EXPLORER_COLUMNS if not n.endswith("audio") and n != "audio_count"], sql.GOLD_KNOWN
+)
+
+
+@query("catalog_view", "gold", f"""
+SELECT {_EXPLORER}, false AS has_audio, 0 AS audio_count FROM gold
 QUALIFY row_number() OVER (PARTITION BY coalesce(field_identifier, CAST(id AS VARCHAR)) ORDER BY CASE WHEN source_system = 'Museum' THEN 1 ELSE 2 END, id) = 1""")
 def _(spark, sf):
-    found = search.catalog_view(base.gold(spark, sf), preferred="Museum")
-    return found.select("id", "field_identifier", "title", "source_system", "has_image", "image_count", "year_created", "location")
+    return search.catalog_view(base.gold(spark, sf), preferred="Museum")
 
 
 _DENSE = "SELECT * REPLACE (row_number() OVER (ORDER BY CASE WHEN source_system = 'Library' THEN 0 ELSE 1 END, record_id) AS id) FROM gold"
 _PAGE = ["id", "field_identifier", "title", "field_genre", "source_system", "year_created", "has_image"]
+_WHOLE = sql.UNIFIED_COLUMNS + ["year_created", "decade_created", "image_count", "has_image"]
 
 
-@query("records_page", "gold", f"SELECT {', '.join(f'''coalesce(CAST({n} AS VARCHAR), '') AS {n}''' for n in _PAGE)} FROM ({_DENSE}) ORDER BY CAST(id AS BIGINT) LIMIT 50 OFFSET 100")
+@query("records_page", "gold", f"""
+SELECT {sql.columns(_WHOLE, sql.GOLD_KNOWN, text=True)}, coalesce(CAST(year_created AS VARCHAR), '') AS field_edtf_date_created_year,
+  coalesce(CAST(decade_created AS VARCHAR), '') AS field_edtf_date_created_decade, coalesce(CAST({sql.year('original_date')} AS VARCHAR), '') AS original_date_year,
+  coalesce(CAST({sql.decade(sql.year('original_date'))} AS VARCHAR), '') AS original_date_decade, '0' AS audio_count, 'false' AS has_audio
+FROM ({_DENSE}) ORDER BY CAST(id AS BIGINT) LIMIT 50 OFFSET 100""")
 def _(spark, sf):
-    page = search.records_page(base.gold_plan(spark, sf, with_ids=True).select(*_PAGE, "search_text"), 50, 100)
+    page = search.records_page(base.gold_plan(spark, sf, with_ids=True), 50, 100)
     return shape.blank_nulls(page, without=["search_text"])
 
 
@@ -118,12 +130,10 @@ def _(spark, sf):
     return search.records_page(base.gold(spark, sf).select(_PAGE), 48, after_id=1500)
 
 
-_LEGACY = {k: v for k, v in fixed.LEGACY_LOOKUP.items() if k not in ("field_collection_note", "field_physical_form", "alma_identifier")}
-
-
-@query("legacy_lookup", "gold", "SELECT " + ", ".join(f'{k} AS "{v}"' for k, v in _LEGACY.items()) + " FROM gold ORDER BY id LIMIT 50")
+@query("legacy_lookup", "gold", "SELECT " + ", ".join(
+    f'{k if k in sql.GOLD_KNOWN else "CAST(NULL AS VARCHAR)"} AS "{v}"' for k, v in fixed.LEGACY_LOOKUP.items()) + " FROM gold ORDER BY id LIMIT 50")
 def _(spark, sf):
-    return shape.rename_for_output(search.records_page(base.gold(spark, sf), 50), _LEGACY)
+    return shape.rename_for_output(search.records_page(base.gold(spark, sf), 50), fixed.LEGACY_LOOKUP)
 
 
 @query("record_lookup", "gold", "SELECT id, field_identifier, title FROM gold WHERE field_identifier = 'XB115' OR field_identifier LIKE 'XB115;%' OR field_identifier LIKE '%; XB115;%' OR field_identifier LIKE '%; XB115'")

@@ -12,6 +12,25 @@ LINK = "https://catalogue.example/full?doc={doc}&query=any,contains,{id}&offset=
 IMAGE_ROOT = "https://images.example/"
 
 
+# Columns of the unified and the explorer table, and those the views fill; the others are null.
+UNIFIED_KNOWN = (
+    "id record_id source_system field_identifier title field_genre field_linked_agent field_edtf_date_created original_date field_subject "
+    "field_place_published field_credit_line field_extent field_collection_type field_geographic_subject field_description_long"
+).split()
+UNIFIED_COLUMNS = UNIFIED_KNOWN + (
+    "field_resource_type field_model parent_id field_weight field_member_of file media_use_tid field_display_hints alma_identifier url_alias "
+    "field_physical_form field_collection_note field_note field_subject_pictured field_language field_subjects_name field_temporal_subject "
+    "three_letter_code country_code field_lvr location storage_location alma_source_type"
+).split()
+GOLD_KNOWN = UNIFIED_KNOWN + "year_created decade_created search_text image_count has_image".split()
+
+
+def columns(names, known, text: bool = False) -> str:
+    """A select list: known columns as they are, the others null; as text, null is empty."""
+    plain = {n: n if n in known else "CAST(NULL AS VARCHAR)" for n in names}
+    return ", ".join(f"coalesce(CAST({x} AS VARCHAR), '') AS {n}" if text else x if x == n else f"{x} AS {n}" for n, x in plain.items())
+
+
 def lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -134,7 +153,7 @@ def subject_tag(x: str) -> str:
 
 
 def title_cut(x: str) -> str:
-    return f"substr(split_part({x}, ' __ __ __', 1), 1, 255)"
+    return f"split_part({x}, ' __ __ __', 1)"
 
 
 _SEARCH = [c for c in fixed.SEARCH_COLUMNS if c != "Inscription"]
@@ -183,7 +202,7 @@ SELECT base, min(CASE WHEN nxt IS NULL THEN k + 1 END)::INTEGER AS files FROM (
     "gold_media": ["gold_text media_base", f"""
 SELECT id AS media_id, arg_min(files, i) AS files FROM (
   SELECT id, unnest(string_split(field_identifier, ';')) AS p, unnest(range(len(string_split(field_identifier, ';')))) AS i FROM gold_text)
-JOIN media_base ON {media_name('p')} = base AND {strip('p')} <> '' AND length({strip('p')}) <= 200 GROUP BY id"""],
+JOIN media_base ON {media_name('p')} = base AND {strip('p')} <> '' GROUP BY id"""],
     "gold": ["gold_text gold_media", f"""
 SELECT g.*, lower(strip_accents(concat_ws(' ', {', '.join(f"coalesce({c}, '')" if c in
     ('title', 'field_identifier', 'field_collection_type', 'field_credit_line', 'field_extent', 'field_genre', 'field_description_long', 'field_linked_agent', 'field_subject', 'field_place_published', 'source_system')

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import base, sql
 from checks.base import query
-from checks.views import view
+from checks.views import table, view
 from shelfmark.functions import fixed
 from shelfmark.operators import compare, dense, inventory, media, merge, metrics, quality, shape, tagged, unify
 from shelfmark.sources.files import expired_reports
@@ -19,22 +19,22 @@ KEY = f"nullif(lower({sql.strip('field_identifier')}), '')"
 @query("inventory_join", "lib items", f"""
 SELECT l.record_id, CASE WHEN i.k IS NOT NULL THEN '/raw/alma/physical' ELSE '/raw/alma/bibliographic' END AS alma_source_type,
   CASE WHEN loc IN ('REF', 'REFO', 'REFDO') THEN 'Reference' ELSE loc END AS location,
-  CASE WHEN loc IN ('REF', 'REFO', 'REFDO') THEN 'Research/Reference Books' ELSE 'Library' END AS field_collection_type
-FROM lib l LEFT JOIN (SELECT replace(mms_id, '''', '') AS k, {sql.strip('location')} AS loc FROM items
+  CASE WHEN loc IN ('REF', 'REFO', 'REFDO') THEN 'Research/Reference Books' ELSE 'Library' END AS field_collection_type, item_id
+FROM lib l LEFT JOIN (SELECT item_id, replace(mms_id, '''', '') AS k, {sql.strip('location')} AS loc FROM items
   QUALIFY row_number() OVER (PARTITION BY mms_id ORDER BY item_id) = 1) i ON CAST(l.record_id AS VARCHAR) = i.k""")
 def _(spark, sf):
     items = view(spark, sf, "items").withColumn("mms_id", inventory.clean_item_key(c("mms_id")))
     records = view(spark, sf, "lib").select("record_id", "field_collection_type")
     joined = inventory.inventory_join(records, items, "record_id", "mms_id", "item_id", "location")
-    return joined.select("record_id", "alma_source_type", "location", "field_collection_type")
+    return joined.select("record_id", "alma_source_type", "location", "field_collection_type", "item_id")
 
 
 @query("gap_report", "unified web", f"""
-SELECT id, source_system, field_identifier, title FROM unified u
+SELECT row_number() OVER (ORDER BY id) AS id, source_system, field_identifier, title FROM unified u
 WHERE NOT EXISTS (SELECT 1 FROM web w WHERE {sql.norm_id('w.field_identifier')} = {sql.norm_id('u.field_identifier')})""")
 def _(spark, sf):
     catalog = shape.select_existing(base.unified(spark, sf), ["id", "source_system", "field_identifier", "title"])
-    return compare.gap_report(catalog, view(spark, sf, "web"), "id")
+    return compare.numbered_gap(compare.gap_report(catalog, view(spark, sf, "web"), "id"))
 
 
 @query("comparison_left", "mus web", f"""
@@ -88,13 +88,17 @@ def _(spark, sf):
     return compare.duplicates_report(view(spark, sf, "mus"), view(spark, sf, "lib"))
 
 
-@query("unify_catalog", "unified", """
-SELECT id, source_system, field_identifier, title, field_genre, field_linked_agent, field_edtf_date_created, field_subject, field_place_published,
-       field_credit_line, field_extent, field_collection_type, field_description_long, CAST(NULL AS VARCHAR) AS location FROM unified""")
+@query("unify_catalog", "unified", f"SELECT {sql.columns(sql.UNIFIED_COLUMNS, sql.UNIFIED_KNOWN)} FROM unified")
 def _(spark, sf):
-    return base.unified(spark, sf).select(
-        "id", "source_system", "field_identifier", "title", "field_genre", "field_linked_agent", "field_edtf_date_created", "field_subject",
-        "field_place_published", "field_credit_line", "field_extent", "field_collection_type", "field_description_long", "location")
+    return base.unified(spark, sf)
+
+
+@query("dense_ids", "", """
+SELECT row_number() OVER (ORDER BY k NULLS LAST, event_id) AS id, k, event_id FROM (
+  SELECT CASE WHEN event_type <> 'error' THEN event_type END AS k, event_id FROM events)""")
+def _(spark, sf):
+    rows = table(spark, sf, "events").selectExpr("CASE WHEN event_type <> 'error' THEN event_type END AS k", "event_id")
+    return dense.assign_ids(rows, [c("k").asc_nulls_last(), c("event_id")], "id")
 
 
 @query("assign_ids", "unified", "SELECT row_number() OVER (ORDER BY CASE WHEN source_system = 'Library' THEN 0 ELSE 1 END, record_id) AS id, record_id, source_system FROM unified")
@@ -282,11 +286,11 @@ files AS (SELECT l.subdir, fold.k, l.folder, l.file_name, row_number() OVER (PAR
 plan AS (SELECT id, c.subdir || '/' || f.folder || '/' || f.file_name AS source_path, f.file_name, {sql.media_name('part')} || CASE WHEN n = 0 THEN '' ELSE '_' || n END || '.jpg' AS output,
   trim(regexp_replace(part, '[.\\s,-]+', '.', 'g'), '.') || CASE WHEN n = 0 THEN '' ELSE '_' || n END || '.jpg' AS legacy
   FROM choice c JOIN files f ON c.subdir = f.subdir AND c.k = f.k)
-SELECT id, source_path, output FROM plan WHERE output NOT IN (SELECT file_name FROM media WHERE subdir = 'objects')
-  AND legacy NOT IN (SELECT file_name FROM media WHERE subdir = 'objects') AND file_name <> 'scan_2.TIF')""")
+SELECT id, source_path, output FROM plan WHERE output NOT IN (SELECT file_name FROM media)
+  AND legacy NOT IN (SELECT file_name FROM media) AND file_name <> 'scan_2.TIF')""")
 def _(spark, sf):
     records = base.gold(spark, sf).select("id", "field_identifier", "source_system")
-    existing = view(spark, sf, "media").where("subdir = 'objects'")
+    existing = view(spark, sf, "media")
     return media.net_new_media(records, view(spark, sf, "folders"), existing, "id", blocklist=["scan_2.TIF"])
 
 

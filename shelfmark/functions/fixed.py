@@ -93,7 +93,7 @@ RESULT_COLUMNS = [
 # Columns of the gap report, in order.
 GAP_COLUMNS = [
     "id", "field_resource_type", "field_model", "parent_id", "field_weight", "field_member_of", "file",
-    "media_use_tid", "field_display_hints", "field_identifier", "url_alias", "title", "field_linked_agent",
+    "media_use_tid", "field_display_hints", "field_identifier", "access_nbr", "url_alias", "title", "field_linked_agent",
     "field_genre", "field_edtf_date_created", "field_place_published", "field_subject",
     "field_description_long", "field_credit_line", "field_physical_form", "field_extent",
     "field_collection_type", "qa_pass", "location",
@@ -212,4 +212,3 @@ EXPORT_COLUMNS = [
 IMAGE_EXTENSIONS = (".tif", ".tiff", ".jpg", ".jpeg", ".png")
 AUDIO_EXTENSIONS = (".mp3", ".wav")
 # Identifiers longer than this have no media file.
-MAX_MEDIA_NAME = 200

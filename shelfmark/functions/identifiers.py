@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.fixed import MAX_MEDIA_NAME, WHITE_SPACE_CLASS
+from shelfmark.functions.fixed import WHITE_SPACE_CLASS
 from shelfmark.functions.text import split_values, strip, strip_chars
 from shelfmark.functions.unicode import nfkc
 
@@ -73,6 +73,5 @@ def has_any_part(c: Column, wanted: Sequence[str]) -> Column:
 
 
 def media_parts(c: Column) -> Column:
-    """Parts that can have a media file, with their position: ``array<struct<pos, part>>``."""
-    indexed = F.transform(split_ids(c), lambda p, i: F.struct(i.alias("pos"), p.alias("part")))
-    return F.filter(indexed, lambda s: F.length(s["part"]) <= MAX_MEDIA_NAME)
+    """The parts with their position: ``array<struct<pos, part>>``."""
+    return F.transform(split_ids(c), lambda p, i: F.struct(i.alias("pos"), p.alias("part")))

@@ -89,9 +89,14 @@ def compose_extent(*parts: Column) -> Column:
     return strip(strip_chars(F.regexp_replace(joined, r",\s*,", ","), ", "))
 
 
-def title_cut(c: Column, marker: str = " __ __ __", limit: int = 255) -> Column:
-    """Title without its trailing filler, at most ``limit`` characters (a field limit of the target)."""
-    return F.substring(F.substring_index(c, marker, 1), 1, limit)
+def title_cut(c: Column, marker: str = " __ __ __") -> Column:
+    """Title without its trailing filler."""
+    return F.substring_index(c, marker, 1)
+
+
+def limit_length(c: Column, limit: int) -> Column:
+    """At most ``limit`` characters, for exports to systems with a field limit."""
+    return F.substring(c, 1, limit)
 
 
 def place_delimiter(c: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.identifiers import normalize_identifier, simple_key
 from shelfmark.functions.similarity import jaro_winkler
+from shelfmark.operators.dense import assign_ids
 from shelfmark.operators.merge import keep_one, lookup_join, spread_nulls
 from shelfmark.operators.unify import SourceLabels, identifier_parts
 
@@ -22,14 +23,23 @@ def _published_keys(published: DataFrame) -> DataFrame:
 def gap_report(catalog: DataFrame, published: DataFrame, row_key: str) -> DataFrame:
     """Records that are not published, by normal form of the identifier.
 
+    A catalogue without ``field_identifier`` is compared by ``access_nbr``, which then gets that name.
     Records without an identifier count as missing; their keys are spread so that they do not
     pile up in one join task.
     """
+    if "field_identifier" not in catalog.columns:
+        catalog = catalog.withColumnRenamed("access_nbr", "field_identifier")
     key = spread_nulls(normalize_identifier(F.col("field_identifier")), F.col(row_key))
     keyed = catalog.withColumn("norm_id", key)
     return lookup_join(keyed, _published_keys(published), ["norm_id"], "left_anti").drop("norm_id")
 
 
+def numbered_gap(gap: DataFrame, row_key: str = "id") -> DataFrame:
+    """The gap report with dense ids of its own, 1..n, in the order of the old ones."""
+    renamed = gap.withColumnRenamed(row_key, "_catalog_id")
+    return assign_ids(renamed, [F.col("_catalog_id").asc_nulls_last()], row_key).drop("_catalog_id")
+
+
 def compare_left(records: DataFrame, published: DataFrame, row_key: str) -> DataFrame:
     """Records with ``exists``: ``both`` if published, else ``left_only``."""
     key = spread_nulls(normalize_identifier(F.col("field_identifier")), F.col(row_key))
@@ -104,11 +114,10 @@ def compare_titles(
 def duplicates_report(museum: DataFrame, library: DataFrame, labels: SourceLabels = SourceLabels()) -> DataFrame:
     """Identifier parts both sources hold, with the records that hold them."""
     sides = {labels.museum: museum, labels.library: library}
-    parts = {label: identifier_parts(df, "field_identifier", "title") for label, df in sides.items()}
-    shared = identifier_parts(museum).intersect(identifier_parts(library))
-    rows = None
-    for label, df in parts.items():
-        hit = lookup_join(df, shared, ["match_id"], "left_semi").withColumn("source_system", F.lit(label))
-        rows = hit if rows is None else rows.unionByName(hit)
-    report = rows.select("match_id", "source_system", "field_identifier", "title")
+    tagged = [df.select("field_identifier", "title", F.lit(label).alias("source_system")) for label, df in sides.items()]
+    parts = identifier_parts(tagged[0].unionByName(tagged[1]), "source_system", "field_identifier", "title")
+    held = parts.groupBy("match_id").agg(F.min("source_system").alias("_low"), F.max("source_system").alias("_high"))
+    shared = held.where("_low <> _high").select("match_id")
+    report = lookup_join(parts, shared, ["match_id"], "left_semi")
+    report = report.select("match_id", "source_system", "field_identifier", "title")
     return report.orderBy(F.asc("match_id"), F.desc("source_system"), "field_identifier", "title")

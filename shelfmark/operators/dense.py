@@ -18,13 +18,13 @@ from shelfmark.session import cut_lineage
 SLICE, ROW = "_slice", "_row"
 
 
-def ordered_slices(df: DataFrame, order: Sequence[Column], keep: Sequence[str] = ("*",)) -> DataFrame:
+def ordered_slices(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Sort globally; add the slice number and the row number within the slice (from 0).
 
-    ``order`` must end in a unique key, so that equal leading values can be spread over slices.
+    ``order`` should end in a key with few repeats, so that equal leading values can be spread over slices.
     """
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ordered = df.orderBy(*order).select(*keep, F.spark_partition_id().alias(SLICE), row.alias(ROW))
+    ordered = df.orderBy(*order).select("*", F.spark_partition_id().alias(SLICE), row.alias(ROW))
     return cut_lineage(ordered)
 
 
@@ -35,21 +35,16 @@ def _slice_offsets(slices: DataFrame) -> DataFrame:
     return sizes.select(SLICE, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
 
 
-def assign_ids(
-    df: DataFrame, order: Sequence[Column], name: str = "id", key: Sequence[str] | None = None
-) -> DataFrame:
-    """Dense ids 1..n in the given order.
+def assign_ids(df: DataFrame, order: Sequence[Column], name: str = "id") -> DataFrame:
+    """Dense ids 1..n in the given order. Every row gets one, also rows with null or repeated keys.
 
-    With ``key`` (columns that identify a row), only the order and the key are sorted and written;
-    the ids are then joined to the rows. Without it the whole rows are.
+    The rows themselves are sorted and numbered, so the input is computed once.
     """
     columns = [c for c in df.columns if c != name]
-    slices = ordered_slices(df, order, key or ("*",))
+    slices = ordered_slices(df.drop(name), order)
     # one offset row per slice: bounded by the number of shuffle partitions
     numbered = slices.join(F.broadcast(_slice_offsets(slices)), SLICE)
     numbered = numbered.withColumn(name, F.col("_offset") + F.col(ROW) + 1)
-    if key is not None:
-        return df.drop(name).join(numbered.select(name, *key), list(key)).select(name, *columns)
     return numbered.select(name, *columns)
 
 

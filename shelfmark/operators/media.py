@@ -111,13 +111,14 @@ def file_counts(listing: DataFrame, extensions: Sequence[str] = (".jpg",)) -> Da
     """
     suffix = "|".join(e.replace(".", "[.]") for e in extensions)
     stem = F.regexp_extract("file_name", f"(?s)^(.*)({suffix})$", 1)
-    numbered = r"(?s)^(.+)_([1-9][0-9]{0,8})$"
+    numbered = r"(?s)^(.+)_([1-9][0-9]*)$"
     base, k = F.regexp_extract("stem", numbered, 1), F.regexp_extract("stem", numbered, 2)
 
     def says(base: Column, k: Column, exists: bool) -> Column:
-        return F.struct(base.alias("base"), k.alias("k"), F.lit(exists).alias("here"), F.lit(not exists).alias("more"))
+        return F.struct(base.alias("base"), k.cast("long").alias("k"), F.lit(exists).alias("here"), F.lit(not exists).alias("more"))
 
-    number = F.nullif(k, F.lit("")).cast("int")
+    # a number beyond a long cannot end an unbroken run: that many files do not exist
+    number = F.nullif(k, F.lit("")).try_cast("long")
     facts = F.array_compact(
         F.array(
             says(F.col("stem"), F.lit(0), True),
@@ -146,8 +147,7 @@ def media_counts(
 
 def has_media_flag(records: DataFrame, listing: DataFrame, row_key: str, extension: str = ".jpg") -> DataFrame:
     """``has_image`` by the primary part alone."""
-    usable = F.length(F.trim(F.substring_index("field_identifier", ";", 1))) <= fixed.MAX_MEDIA_NAME
-    name = F.when(usable, F.concat(media_filename(F.col("field_identifier")), F.lit(extension)))
+    name = F.concat(media_filename(F.col("field_identifier")), F.lit(extension))
     files = listing.select(F.col("file_name").alias("_file")).distinct()
     named = records.select(row_key, name.alias("_file")).where("_file IS NOT NULL")
     hits = lookup_join(named, files, ["_file"], "left_semi")

@@ -38,20 +38,18 @@ def keep_one(
     """First row of each key in ``order``, which must be total.
 
     ``row_number() = 1`` lets Spark keep one row per key and task before the shuffle, so a hot
-    key never travels whole. Rows with a null key are kept as they are, without a shuffle,
-    unless ``collapse_null_keys``.
+    key never travels whole. Rows with a null key are all kept unless ``collapse_null_keys``: each
+    gets a number of its own as a further key, so one pass serves both kinds.
     """
     named = {f"_key{i}": k for i, k in enumerate(keys)}
-
-    def first_rows(rows: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*named).orderBy(*order)
-        return rows.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").select(*df.columns)
-
     keyed = df.withColumns(named)
-    if collapse_null_keys:
-        return first_rows(keyed)
-    missing = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in named])
-    return first_rows(keyed.where(~missing)).unionAll(keyed.where(missing).select(*df.columns))
+    apart = list(named)
+    if not collapse_null_keys:
+        missing = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in named])
+        keyed = keyed.withColumn("_own", F.when(missing, F.monotonically_increasing_id()))
+        apart.append("_own")
+    window = Window.partitionBy(*apart).orderBy(*order)
+    return keyed.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").select(*df.columns)
 
 
 def upsert_key(df: DataFrame) -> Column:

@@ -193,14 +193,14 @@ FACETS = {
 
 
 def responsive_facets(
-    catalog: DataFrame, spec: SearchSpec, top: int = 1000, facets: Sequence[str] = tuple(FACETS)
+    catalog: DataFrame, spec: SearchSpec, top: int | None = None, facets: Sequence[str] = tuple(FACETS)
 ) -> DataFrame:
     """Values and counts of every facet, each under all conditions but its own, from one scan.
 
     A record that fails no facet condition feeds every facet; one that fails exactly one feeds
     only that facet. Split facets count distinct identifiers, the others count rows. The first
     aggregation is keyed by (facet, value, identifier), so a value held by a third of the records
-    is counted in many tasks.
+    is counted in many tasks. ``top`` keeps that many values per facet, for a page.
     """
     conditions = _facet_predicates(spec)
     fails = {f: ~F.coalesce(conditions[f], F.lit(False)) if f in conditions else F.lit(False) for f in FACETS}
@@ -228,6 +228,8 @@ def responsive_facets(
     split_facets = [f for f in facets if FACETS[f][1]]
     weight = F.when(F.col("facet").isin(split_facets), F.lit(1)).otherwise(F.col("_rows"))
     counts = per_record.groupBy("facet", "value").agg(F.sum(weight).alias("count"))
+    if top is None:
+        return counts
     window = Window.partitionBy("facet").orderBy(F.desc("count"), F.asc("value"))
     return counts.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= top).drop("_rank")
 
@@ -264,8 +266,9 @@ def simple_search(catalog: DataFrame, text: str, limit: int = 50, offset: int =
 
 
 def record_lookup(catalog: DataFrame, identifier: str) -> DataFrame:
-    """Records that carry the identifier, alone or as one part."""
-    return catalog.where(has_part(F.col("field_identifier"), identifier))
+    """Records that carry the identifier, alone or as one part. The scan filters by containment first."""
+    held = F.col("field_identifier").contains(identifier)
+    return catalog.where(held & has_part(F.col("field_identifier"), identifier))
 
 
 def record_by_id(catalog: DataFrame, wanted: str) -> DataFrame:

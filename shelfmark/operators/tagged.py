@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.fixed import NOTE_CODES
-from shelfmark.session import spread_small
 
 FieldSpec = tuple[str, Sequence[str], bool]  # tag, subfield codes, whole field too
 
@@ -25,7 +24,7 @@ def _joined(order: Sequence[str], value: str, joiner: str) -> Column:
 
 def first_values(tagged: DataFrame) -> DataFrame:
     """First non-empty value of each subfield code in each occurrence."""
-    return spread_small(tagged).where("value != ''").groupBy("rec_id", "tag", "occ", "code").agg(F.min_by("value", "pos").alias("value"))
+    return tagged.where("value != ''").groupBy("rec_id", "tag", "occ", "code").agg(F.min_by("value", "pos").alias("value"))
 
 
 def column_name(tag: str, code: str) -> str:
@@ -57,7 +56,7 @@ def tagged_pivot(tagged: DataFrame, spec: Sequence[FieldSpec], single: Sequence[
 
     # rows of other tags only say that the record exists
     known = F.col("tag").isin(tags)
-    fields = spread_small(tagged).groupBy(
+    fields = tagged.groupBy(
         "rec_id", F.when(known, F.col("tag")).alias("tag"), F.when(known, F.col("occ")).alias("occ")
     ).agg(F.sort_array(F.collect_list(F.when(known, F.struct("pos", "code", "value")))).alias("subfields"))
 

@@ -44,16 +44,17 @@ def identifier_parts(df: DataFrame, *keep: str) -> DataFrame:
 def mark_duplicates(library: DataFrame, museum: DataFrame, row_key: str) -> DataFrame:
     """Append ``_dup_<row key>`` to library identifier parts that the museum also has.
 
-    Only (row key, part) travels for the match; the records themselves meet just the rows that
-    have a duplicate, usually few.
+    Only (identifier, part) travels for the match; the records meet just the identifiers that have a
+    duplicate, usually few. Records without a row key are marked too, with an empty key.
     """
     held = identifier_parts(museum).distinct()
-    shared = lookup_join(identifier_parts(library, row_key), held, ["match_id"], "left_semi")
-    # bounded by the number of parts of one record
-    shared = shared.groupBy(row_key).agg(F.collect_set("match_id").alias("_shared"))
-    joined = library.join(shared, row_key, "left")
+    asked = identifier_parts(library, "field_identifier").distinct()
+    shared = lookup_join(asked, held, ["match_id"], "left_semi")
+    # bounded by the number of parts of one identifier
+    shared = shared.groupBy("field_identifier").agg(F.collect_set("match_id").alias("_shared"))
+    joined = lookup_join(library, shared, ["field_identifier"], "left")
 
-    suffix = F.concat(F.lit("_dup_"), F.col(row_key).cast("string"))
+    suffix = F.concat(F.lit("_dup_"), F.coalesce(F.col(row_key).cast("string"), F.lit("")))
     parts = F.transform(
         F.split("field_identifier", ";"),
         lambda p: F.when(

@@ -30,7 +30,7 @@ def unify_catalog(
     union = union_sources({labels.library: mark_duplicates(library, museum, row_key), labels.museum: museum})
     if with_ids:
         source_order = F.when(F.col("source_system") == labels.library, 0).otherwise(1)
-        union = assign_ids(union, [source_order, F.col(row_key)], key=["source_system", row_key])
+        union = assign_ids(union, [source_order, F.col(row_key).asc_nulls_last(), F.col("field_identifier"), F.col("title")])
     return clean_strings(align_schema(union))
 
 

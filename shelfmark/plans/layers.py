@@ -17,7 +17,16 @@ from shelfmark.operators.unify import SourceLabels
 from shelfmark.plans.daily import dashboard, snapshot_metrics
 from shelfmark.plans.gold import normalize_catalog, unify_catalog
 from shelfmark.plans.silver import DEFAULT_CREDIT, library_silver, museum_silver
-from shelfmark.sources.files import delta_batches, is_full_extract, path_exists, read_deltas, remove_paths, replace_table
+from shelfmark.sources.files import (
+    append_snapshot,
+    delta_batches,
+    is_full_extract,
+    path_exists,
+    read_deltas,
+    remove_paths,
+    replace_table,
+    write_csv,
+)
 from shelfmark.sources.registry import Layout, publish_views
 
 
@@ -34,6 +43,7 @@ def incremental_extract(spark: SparkSession, source: DataFrame, state: str, targ
     changed.write.mode("overwrite").parquet(batch)
     written = spark.read.parquet(batch)
     if written.isEmpty():
+        remove_paths(spark, [batch])
         return False
     replace_table(merge.next_watermark(written, previous).coalesce(1), state)
     return True
@@ -89,7 +99,7 @@ def build_reports(spark: SparkSession, layout: Layout) -> None:
     archive = spark.read.parquet(layout.path("archive_raw"))
     unified = spark.read.parquet(layout.path("gold_unified_catalog"))
     gap = compare.gap_report(quality.qa_gate(select_existing(unified, GAP_COLUMNS)), archive, "id")
-    replace_table(clean_strings(gap), layout.path("missing_objects"))
+    replace_table(clean_strings(compare.numbered_gap(gap).drop("access_nbr")), layout.path("missing_objects"))
     museum = quality.qa_gate(spark.read.parquet(layout.path("museum_silver")))
     replace_table(compare.compare_left(museum, archive, "record_id"), layout.path("comparison_museum"))
     library = spark.read.parquet(layout.path("library_silver"))
@@ -98,17 +108,47 @@ def build_reports(spark: SparkSession, layout: Layout) -> None:
     )
 
 
+def build_exports(spark: SparkSession, layout: Layout, day: str, folders: DataFrame | None = None, images: DataFrame | None = None) -> None:
+    """CSV reports and sheets of the day: duplicates, both silver tables, and, with listings of raw
+    folders and processed images, the image audit with its summary."""
+    museum, library = (spark.read.parquet(layout.path(n)) for n in ("museum_silver", "library_silver"))
+    reports = f"{layout.root}/reports"
+    stamp = day.replace("-", "")
+    write_csv(compare.duplicates_report(museum, library), f"{reports}/duplicates_report_{stamp}.csv")
+    write_csv(museum, f"{reports}/museum_sheet.csv", quote_all=True)
+    write_csv(library, f"{reports}/library_sheet.csv", quote_all=True)
+    if folders is not None and images is not None:
+        gold = spark.read.parquet(layout.path("gold_normalized_catalog"))
+        audit = media.media_audit(gold, folders.select("subdir", "folder").distinct(), images, "id")
+        replace_table(audit, layout.path("image_audit_report"))
+        written = spark.read.parquet(layout.path("image_audit_report"))
+        write_csv(media.audit_summary(written), f"{reports}/image_audit_summary_{stamp}.csv")
+
+
+def record_metrics(spark: SparkSession, layout: Layout, day: str) -> None:
+    """Row counts of the run's tables, added to the metrics history."""
+    rows = None
+    for name in ("museum_silver", "library_silver", "museum_qa_failures", "gold_unified_catalog", "gold_normalized_catalog"):
+        table = spark.read.parquet(layout.path(name))
+        counts = quality.run_metrics(table, name, with_identifier=F.col("field_identifier").isNotNull())
+        rows = counts if rows is None else rows.unionByName(counts)
+    append_snapshot(rows, f"{layout.root}/gold/snapshots/history_run_metrics", day)
+
+
 def run_layers(
     spark: SparkSession, layout: Layout, museum_deltas: str, library_raw: DataFrame, day: str,
     items: DataFrame | None = None, images: DataFrame | None = None, delta_row: str = "record_id",
     roles: Sequence[tuple[str, str]] = (), labels: SourceLabels = SourceLabels(), excluded: Sequence[str] = (),
+    audio: DataFrame | None = None, folders: DataFrame | None = None, remove_batches: bool = False,
 ) -> list[str]:
     """Everything in order; quality always before the union. Returns the published views."""
-    merge_deltas(spark, layout, museum_deltas, delta_row, roles)
+    merge_deltas(spark, layout, museum_deltas, delta_row, roles, remove=remove_batches)
     replace_table(library_silver(library_raw, items), layout.path("library_silver"))
     check_museum(spark, layout)
-    build_gold(spark, layout, labels, excluded, images)
+    build_gold(spark, layout, labels, excluded, images, audio)
     build_reports(spark, layout)
+    build_exports(spark, layout, day, folders, images)
+    record_metrics(spark, layout, day)
     tables = {name: spark.read.parquet(layout.path(name)) for name in (
         "gold_normalized_catalog", "gold_unified_catalog", "museum_silver", "library_silver", "archive_raw")}
     snapshot_metrics(dashboard(*tables.values()), layout, day)

@@ -12,25 +12,24 @@ from shelfmark.functions import silver as rules
 from shelfmark.functions import text
 from shelfmark.operators.inventory import inventory_join
 from shelfmark.operators.shape import add_constants, clean_strings, rename_columns
-from shelfmark.session import spread_small
 
 DEFAULT_CREDIT = "Museum Collection"
 
 
-def read_role_vocabulary(vocabulary: DataFrame, most: int = 10_000) -> list[tuple[str, str]]:
-    """Ordered (role, code) list from a table with ``rank``, ``role``, ``code``. It becomes part of
-    an expression, so its size is checked."""
-    rows = vocabulary.orderBy("rank").select("role", "code").limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"role vocabulary has more than {most} entries")
-    return [(r.role, r.code) for r in rows]
+def read_role_vocabulary(vocabulary: DataFrame) -> list[tuple[str, str]]:
+    """Ordered (role, code) list from a table with ``rank``, ``role``, ``code``.
+
+    The vocabulary is a code list of a cataloguing standard (some hundred entries) and becomes part
+    of an expression.
+    """
+    return [(r.role, r.code) for r in vocabulary.orderBy("rank").select("role", "code").collect()]
 
 
 def museum_silver(
     raw: DataFrame, roles: Sequence[tuple[str, str]] = (), credit: str = DEFAULT_CREDIT
 ) -> DataFrame:
     """Museum extract: catalogue names, constants, cleaned fields. One narrow pass, no shuffle."""
-    df = add_constants(rename_columns(spread_small(raw), fixed.MUSEUM_RENAMES), fixed.MUSEUM_CONSTANTS)
+    df = add_constants(rename_columns(raw, fixed.MUSEUM_RENAMES), fixed.MUSEUM_CONSTANTS)
     cleaners = {
         "field_genre": F.upper,
         "title": text.title_cut,
@@ -50,11 +49,13 @@ def library_silver(
     raw: DataFrame,
     items: DataFrame | None = None,
     item_key: str = "MMS Record ID",
-    item_order: str = "MMS Record ID",
+    item_order: str = "Barcode",
     item_location: str = "Permanent Physical Location",
 ) -> DataFrame:
     """Flattened library records: catalogue names, merged and composed fields, shelf location."""
-    df = rename_columns(spread_small(raw), fixed.LIBRARY_RENAMES)
+    df = rename_columns(raw, fixed.LIBRARY_RENAMES)
+    if "record_id" not in df.columns and "rec_id" in df.columns:  # tagged records come with their own key
+        df = df.withColumnRenamed("rec_id", "record_id")
     present = set(df.columns)
 
     def col(name: str):

@@ -18,7 +18,6 @@ RUNTIME_CONF = {
     # collect_list and the like keep hashing up to this many groups per task before they sort
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -37,6 +36,7 @@ def local_session(app: str = "shelfmark", cores: int | str = "*", shuffle_partit
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
@@ -44,16 +44,20 @@ def local_session(app: str = "shelfmark", cores: int | str = "*", shuffle_partit
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: the cluster's if it names one, else a local one (tests)."""
+    """The folder for checkpoints, as ``spark.checkpoint.dir`` names it. All executors must share it.
+
+    Only a session on one machine (tests, laptops) may go without; it gets a temporary folder.
+    """
     context = spark.sparkContext
     current = context.getCheckpointDir()
-    if current:
-        return current
-    configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="shelfmark-checkpoint-")
-    context.setCheckpointDir(configured)
-    return configured
+    if not current:
+        current = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            current = tempfile.mkdtemp(prefix="shelfmark-checkpoint-")
+        context.setCheckpointDir(current)
+    return context.getCheckpointDir() or current
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -64,17 +68,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input too small to be split by the scan.
-
-    A small file is one scan task however heavy the work on its rows. Up to one scan split per core
-    (by the optimizer's size estimate) the rows are dealt out; larger inputs already have enough
-    splits and are left where they are, without a shuffle.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    return df.repartition(cores) if size < cores * split else df

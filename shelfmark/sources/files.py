@@ -40,9 +40,16 @@ def delta_batches(spark: SparkSession, folder: str) -> list[str]:
 
 
 def read_deltas(spark: SparkSession, batches: Sequence[str]) -> DataFrame:
-    """The change batches as one table, with the time each was written."""
+    """The change batches as one table, with each batch's time.
+
+    The stamp in the batch's name (``delta_<stamp>``: digits, a date first) decides, as it survives a
+    copy of the folder; the file's time stands in where a name has none.
+    """
     rows = spark.read.option("mergeSchema", True).parquet(*batches)
-    return rows.select("*", F.col("_metadata.file_modification_time").alias("_batch_time"))
+    path = F.col("_metadata.file_path")
+    stamp = F.regexp_replace(F.regexp_extract(path, r"(?:full_extract|delta)_([0-9][0-9T_:-]*)", 1), "[^0-9]", "")
+    day = F.try_to_timestamp(F.rpad(F.substring(stamp, 1, 14), 14, "0"), F.lit("yyyyMMddHHmmss"))
+    return rows.select("*", F.coalesce(day, F.col("_metadata.file_modification_time")).alias("_batch_time"))
 
 
 def is_full_extract(batch: str) -> bool:
@@ -80,11 +87,14 @@ def read_items(spark: SparkSession, pattern: str, key: str = "MMS Record ID") ->
         groups.setdefault(tuple(header), []).append(file)
 
     def read(header: tuple[str, ...], paths: list[str]) -> DataFrame:
-        # a line with more fields than the header fills the extra column
-        schema = StructType([StructField(h, StringType()) for h in (*header, "_extra")])
-        rows = spark.read.option("header", True).option("enforceSchema", True).schema(schema).csv(paths)
-        kept = rows.where("_extra IS NULL").drop("_extra")
-        return kept.toDF(*[h.strip() for h in header])
+        # a line whose number of fields is not the header's comes with its text: shorter ones are kept,
+        # longer ones are not, even if the rest is empty
+        schema = StructType([StructField(h, StringType()) for h in (*header, "_line")])
+        rows = spark.read.option("header", True).option("enforceSchema", True).option("multiLine", True)
+        rows = rows.option("escape", '"').option("columnNameOfCorruptRecord", "_line").option("columnPruning", False)
+        fields = F.size(F.split(F.regexp_replace("_line", '"(?:[^"]|"")*"', ""), ","))
+        kept = rows.schema(schema).csv(paths).where(F.col("_line").isNull() | (fields <= len(header)))
+        return kept.select(*[F.col(f"`{h}`").alias(h.strip()) for h in header])
 
     if not groups:
         return None
@@ -128,8 +138,12 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
 
 
 def append_snapshot(df: DataFrame, path: str, day: str, column: str = "snapshot_date") -> None:
-    """Add one day's rows to a history table; writing a day again replaces it."""
+    """Add one day's rows to a history table; writing a day again replaces it, also by nothing."""
     dated = df.withColumn(column, F.to_date(F.lit(day)))
+    if dated.isEmpty():
+        # dynamic overwrite leaves partitions alone that get no row
+        remove_paths(df.sparkSession, [f"{path}/{column}={day}"])
+        return
     writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(column).parquet(path)
 

@@ -81,7 +81,7 @@ def test_identifier_normal_form(spark, values):
         (lambda c: normalize.decade_of(normalize.extract_year(c)), "1939", 1930),
         (lambda c: F.array_join(text.parse_subjects(c), "/"), "a; b |c; a;;", "a/b |c"),
         (lambda c: F.array_join(text.parse_delimited(c), "/"), None, ""),
-        (text.title_cut, "x" * 300 + " __ __ __ y", "x" * 255),
+        (text.title_cut, "x" * 400 + " __ __ __ y", "x" * 400),
         (text.subject_delimiter, "a--b", "subject:a|subject:b"),
         (lambda c: text.compose_extent(c, F.lit(None).cast("string"), F.lit("28 cm")), "10 p.", "10 p., 28 cm"),
         (lambda c: text.merge_columns([c, F.lit(" "), F.lit("b")]), " a ", "a | b"),

@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks import base
 from checks.views import TABLES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = base.QUERIES, base.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -1,10 +1,8 @@
 import json
 
-import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from checks import base
 from checks.views import view
 from shelfmark.plans import layers
 from shelfmark.plans.silver import read_role_vocabulary
@@ -16,11 +14,12 @@ SF = "/root/testdata/sf0.001"
 
 def test_item_csv_files_with_different_headers(spark, tmp_path):
     (tmp_path / "PHYSICAL_ITEM_1.csv").write_text("MMS Record ID , Permanent Physical Location\n'991,REF\n'992,a,too,many\n993\n")
+    (tmp_path / "PHYSICAL_ITEM_3.csv").write_text("MMS Record ID,Note\n'995,\"two\nlines\"\n'996,x,\n'997,\n")
     (tmp_path / "PHYSICAL_ITEM_2.csv").write_text("Permanent Physical Location,MMS Record ID,Note\nSTACKS,'994,\"x, y\"\n")
     (tmp_path / "other.csv").write_text("a\n1\n")
     items = files.read_items(spark, f"{tmp_path}/PHYSICAL_ITEM*.csv")
     assert rows(items.select("MMS Record ID", "Permanent Physical Location", "Note")) == [
-        ("991", "REF", None), ("993", None, None), ("994", "STACKS", "x, y")]
+        ("991", "REF", None), ("993", None, None), ("994", "STACKS", "x, y"), ("995", None, "two\nlines"), ("997", None, None)]
     assert files.read_items(spark, f"{tmp_path}/nothing*.csv") is None
 
 
@@ -46,6 +45,8 @@ def test_snapshot_of_a_day_is_written_once(spark, tmp_path):
         files.append_snapshot(spark.range(n), path, day)
     counts = spark.read.parquet(path).groupBy("snapshot_date").count()
     assert rows(counts.select(F.col("snapshot_date").cast("string"), "count")) == [("2024-01-01", 2), ("2024-01-02", 4)]
+    files.append_snapshot(spark.range(0), path, "2024-01-02")  # nothing left of that day
+    assert [str(r[0]) for r in spark.read.parquet(path).select("snapshot_date").distinct().collect()] == ["2024-01-01"]
 
 
 def test_expired_reports_are_deleted(spark, tmp_path):
@@ -62,11 +63,9 @@ def test_quoted_csv_export(spark, tmp_path):
     assert written == '"a","b"\n"=IMAGE(""u"")",""\n'
 
 
-def test_role_vocabulary_is_ordered_and_bounded(spark):
+def test_role_vocabulary_is_ordered(spark):
     table = spark.createDataFrame([(2, "b", "y"), (1, "a", "x")], "rank int, role string, code string")
     assert read_role_vocabulary(table) == [("a", "x"), ("b", "y")]
-    with pytest.raises(ValueError, match="more than 1"):
-        read_role_vocabulary(table, most=1)
 
 
 def test_incremental_extract(spark, tmp_path):
@@ -104,8 +103,3 @@ def test_whole_batch_run(spark, tmp_path):
     assert spark.table("missing_objects").count() + spark.table("gold_unified_catalog").join(spark.table("missing_objects"), "id", "left_anti").count() == n
     assert spark.table("comparison_museum").where("exists = 'both'").count() > 0
     assert publish_views(spark, layout) == views
-
-
-def test_stored_gold_equals_its_plan(spark):
-    columns = ["id", "field_identifier", "title", "search_text", "image_count"]
-    assert rows(base.gold(spark, SF).select(columns)) == rows(base.gold_plan(spark, SF).select(columns))
