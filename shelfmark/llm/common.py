@@ -71,6 +71,13 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that nothing is learned from: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -89,10 +96,11 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     Rows that tie in ``order`` get neighbouring numbers in any order.
     """
     at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    rows = cut(df.orderBy(*order).select("*", F.spark_partition_id().alias("_slice"), at.alias("_at")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")  # so that no name can clash
+    rows = cut(df.orderBy(*order).select(whole, F.spark_partition_id().alias("_slice"), at.alias("_at")))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy("_slice").agg(F.count("*").alias("_size"))
     base = sizes.select("_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
     # one row per slice, so no more than shuffle partitions
     joined = rows.join(F.broadcast(base), "_slice")
-    return joined.select(*df.columns, (F.col("_base") + F.col("_at")).alias(name))
+    return joined.select("_row.*", (F.col("_base") + F.col("_at")).alias(name))

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import held_out
+from shelfmark.llm.common import fresh, held_out
 
 UNKNOWN = "und"
 
@@ -95,7 +95,8 @@ def with_language(
             yield pd.DataFrame([model.predict(t, margin) for t in s], columns=["lang_pred", "score", "rejected"])
 
     base = df.drop("lang_pred", "score", "rejected")
-    return base.select("*", predict("text").alias("_found")).select(*base.columns, "_found.*")
+    made = fresh("_found", base)
+    return base.select("*", predict("text").alias(made)).select(*base.columns, f"{made}.*")
 
 
 def identify_language(docs: DataFrame, per_language: int = 160, sample_bytes: int = 96 << 10, **options) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import TEXT_WORD, cut, row_key, small, stored
+from shelfmark.llm.common import TEXT_WORD, cut, fresh, row_key, small, stored
 from shelfmark.llm.graph import components
 from shelfmark.operators.merge import lookup_join
 
@@ -275,10 +275,11 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     worded = rows.where("has_words").select("class_id", "doc_id", "row_key", odd)
     # Spark keeps one row per class and task before it shuffles
     first = worded.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("row_key")
-    keys = docs.withColumn("_row_key", row_key())
-    kept = keys.join(first.distinct().withColumnRenamed("row_key", "_row_key"), "_row_key")
+    key, number = fresh("_row_key", docs), fresh("_number", docs)
+    keys = docs.withColumn(key, row_key())
+    kept = keys.join(first.distinct().withColumnRenamed("row_key", key), key)
     # rows alike in id and text lie in one partition after the join; the first of them stays
-    alike = Window.partitionBy("_row_key").orderBy(F.lit(1))
-    kept = kept.withColumn("_n", F.row_number().over(alike)).where("_n = 1").select(*docs.columns)
+    alike = Window.partitionBy(key).orderBy(F.lit(1))
+    kept = kept.withColumn(number, F.row_number().over(alike)).where(F.col(number) == 1).select(*docs.columns)
     found = F.regexp_instr("text", F.lit(TEXT_WORD))
     return kept.unionByName(docs.where(F.coalesce(found, F.lit(0)) == 0))

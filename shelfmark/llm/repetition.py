@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import fresh
+
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 WINDOW = 3
@@ -191,7 +193,8 @@ def with_repetition(
 
     names = [f.split()[0] for f in FIELDS.split(", ")]
     base = df.drop(*names, "base_failed", "kept")
-    rows = base.select("*", measures("text").alias("_measures")).select(*base.columns, "_measures.*")
+    made = fresh("_measures", base)
+    rows = base.select("*", measures("text").alias(made)).select(*base.columns, f"{made}.*")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     bad = (F.col("n_covered") > most_covered * F.col("n_words")) | (F.col("longest_repeat") > most_repeat)
     return rows.select("*", failed.alias("base_failed"), (~failed & ~bad).alias("kept"))
