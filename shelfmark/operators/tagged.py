@@ -46,19 +46,21 @@ def tagged_pivot(tagged: DataFrame, spec: Sequence[FieldSpec], single: Sequence[
     `` | ``; absent -> empty.
 
     ``whole field`` adds ``new_<tag>_full``: all text of each occurrence. ``single`` subfields are
-    taken from the first occurrence of the field only. One pass: subfields meet in their field, the
-    field yields its cells, the cells meet by (record, column), then by record.
+    taken from the first occurrence of the field only. One shuffle by record: subfields meet in their
+    field, the field yields its cells, the cells meet by (record, column), then by record.
     """
     tags = sorted({tag for tag, _, _ in spec} | {tag for tag, _ in single})
     wanted = [column_name(tag, code) for tag, codes, _ in spec for code in codes]
     once = [column_name(tag, code) for tag, code in single]
     whole = [tag for tag, _, full in spec if full]
 
-    # rows of other tags only say that the record exists
+    # rows of other tags only say that the record exists; all groupings below keep a record in one place
     known = F.col("tag").isin(tags)
-    fields = tagged.groupBy(
-        "rec_id", F.when(known, F.col("tag")).alias("tag"), F.when(known, F.col("occ")).alias("occ")
-    ).agg(F.sort_array(F.collect_list(F.when(known, F.struct("pos", "code", "value")))).alias("subfields"))
+    subfield = F.when(known, F.struct("pos", "code", "value"))
+    rows = tagged.select(
+        "rec_id", F.when(known, F.col("tag")).alias("tag"), F.when(known, F.col("occ")).alias("occ"), subfield.alias("subfield")
+    ).repartition("rec_id")
+    fields = rows.groupBy("rec_id", "tag", "occ").agg(F.sort_array(F.collect_list("subfield")).alias("subfields"))
 
     def cell(name: Column, text: Column) -> Column:
         return F.struct(name.alias("name"), text.alias("text"))
@@ -87,6 +89,28 @@ def tagged_pivot(tagged: DataFrame, spec: Sequence[FieldSpec], single: Sequence[
     return records.select("rec_id", *[F.coalesce(F.try_element_at("cells", F.lit(c)), F.lit("")).alias(c) for c in columns])
 
 
+def read_field_spec(table: DataFrame) -> tuple[list[FieldSpec], list[tuple[str, str]]]:
+    """Field specification from a table with ``tag``, ``code`` and ``mode``, for ``tagged_pivot``.
+
+    Modes: ``joined`` (all occurrences), ``single`` (first occurrence only), ``whole`` (the whole field;
+    its code is not looked at). Control fields have the code ``ctrl``. The table is a list of the
+    format's fields, some hundred rows.
+    """
+    rows = table.select("tag", "code", "mode").distinct().orderBy("tag", "code", "mode").collect()
+    tags = sorted({r.tag for r in rows if r.mode in ("joined", "whole")})
+    spec = [
+        (tag, [r.code for r in rows if r.tag == tag and r.mode == "joined"], any(r.tag == tag and r.mode == "whole" for r in rows))
+        for tag in tags
+    ]
+    return spec, [(r.tag, r.code) for r in rows if r.mode == "single"]
+
+
+def flatten_records(tagged: DataFrame, spec: Sequence[FieldSpec], single: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Flat library records: the wanted cells with the joined subject and note, by ``rec_id``."""
+    flat = tagged_pivot(tagged, spec, single)
+    return flat.join(joined_subject(tagged), "rec_id", "left").join(joined_note(tagged), "rec_id", "left")
+
+
 def joined_subject(tagged: DataFrame, tag: str = "650", codes: Sequence[str] = ("a", "x")) -> DataFrame:
     """Subfields joined with `` -- `` within an occurrence, occurrences joined with `` | ``."""
     values = first_values(tagged.where((F.col("tag") == tag) & F.col("code").isin(list(codes))))

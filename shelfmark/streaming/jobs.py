@@ -95,10 +95,12 @@ def start_upsert(
 BUCKET = "key_bucket"
 
 
-def merge_into_buckets(batch: DataFrame, target: str, batch_time: str, row: str, buckets: int = 256) -> None:
+def merge_into_buckets(
+    batch: DataFrame, target: str, batch_time: str, row: str, buckets: int = 256, splits: int = 16
+) -> None:
     """Upsert a batch into a table partitioned by key bucket, rewriting only the buckets it touches.
 
-    The merged rows are checkpointed before they replace the buckets they were read from. If the
+    ``splits`` tasks write each bucket. The merged rows are checkpointed before they replace the buckets they were read from. If the
     job dies while buckets are replaced, merging the same batch again gives the same table.
     """
     spark = batch.sparkSession
@@ -112,7 +114,8 @@ def merge_into_buckets(batch: DataFrame, target: str, batch_time: str, row: str,
     if path_exists(spark, target):
         master = spark.read.parquet(target).where(F.col(BUCKET).isin(touched))
     merged = cut_lineage(upsert_latest(master, fresh, batch_time, row))
-    writer = merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    dealt = merged.repartition(F.col(BUCKET), F.pmod(F.xxhash64(row), F.lit(splits)))
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(BUCKET).parquet(target)
 
 

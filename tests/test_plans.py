@@ -23,7 +23,7 @@ def test_no_cross_joins_and_no_single_task_over_rows(spark, name):
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     # no window over a whole table in one task; the exceptions run over drawn or per-slice rows
-    if name not in ("sample_groups", "prev_next", "assign_ids", "records_page", "net_new_media"):
+    if name not in ("sample_groups", "prev_next", "assign_ids", "dense_ids", "gap_report", "records_page", "net_new_media"):
         lines = text.splitlines()
         for i, line in enumerate(lines):
             if "- Window [" in line:
@@ -91,3 +91,13 @@ def test_hot_keys_are_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_tagged_pivot_shuffles_once(spark):
+    text = plan(QUERIES["tagged_pivot"](spark, SF))
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_duplicates_are_exploded_once_per_side(spark):
+    text = plan(QUERIES["duplicates_report"](spark, SF))
+    assert text.count("FileScan") <= 4 and "CartesianProduct" not in text

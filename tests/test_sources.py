@@ -4,7 +4,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from checks.views import view
-from shelfmark.plans import layers
+from shelfmark.operators import tagged
+from shelfmark.plans import gold, layers, silver
 from shelfmark.plans.silver import read_role_vocabulary
 from shelfmark.sources import files
 from shelfmark.sources.registry import Layout, publish_views
@@ -103,3 +104,21 @@ def test_whole_batch_run(spark, tmp_path):
     assert spark.table("missing_objects").count() + spark.table("gold_unified_catalog").join(spark.table("missing_objects"), "id", "left_anti").count() == n
     assert spark.table("comparison_museum").where("exists = 'both'").count() > 0
     assert publish_views(spark, layout) == views
+
+
+def test_tagged_rows_reach_gold(spark):
+    """From long tagged rows to the normalised catalogue without a column made by hand."""
+    field = lambda rec, tag, code, value, occ=1: (rec, tag, occ, 1, code, value)
+    data = [f for rec in (7, 8) for f in (
+        field(rec, "001", "ctrl", f"99{rec}"), field(rec, "907", "a", f"local@XB{rec}"), field(rec, "245", "a", "A title /"), field(rec, "655", "a", "posters."),
+        field(rec, "650", "a", "Design"), field(rec, "650", "x", "History"), field(rec, "700", "a", "Some One"), field(rec, "264", "c", "[c1985]."))]
+    long = spark.createDataFrame(data, "rec_id long, tag string, occ int, pos int, code string, value string")
+    wanted = [(t, c, "joined") for t, c in (("001", "ctrl"), ("245", "a"), ("655", "a"), ("700", "a"), ("264", "c"))] + [("907", "a", "whole")]
+    spec, single = tagged.read_field_spec(spark.createDataFrame(wanted, "tag string, code string, mode string"))
+    library = silver.library_silver(tagged.flatten_records(long, spec, single))
+    museum = silver.museum_silver(view(spark, SF, "mus").limit(5).withColumnsRenamed({"field_identifier": "cat_nbr", "title": "cat_nam"}))
+    found = gold.normalize_catalog(gold.unify_catalog(museum, library, with_ids=True))
+    assert sorted(r.id for r in found.collect()) == list(range(1, 8))
+    mine = found.where("source_system = 'Library'").orderBy("record_id")
+    assert rows(mine.select("record_id", "field_identifier", "title", "field_genre", "year_created")) == [
+        (7, "XB7", "A title", "POSTER", 1985), (8, "XB8", "A title", "POSTER", 1985)]
