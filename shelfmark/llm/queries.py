@@ -21,7 +21,7 @@ from shelfmark.llm.tokens import Vocabulary, materialise
 from shelfmark.llm.toxicity import train, with_toxicity
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-RANKS, END_MARK = "byte_bpe_50k.tiktoken", 50256
+RANKS, END_MARK = "byte_bpe_multi_50k.tiktoken", 50256
 SHARDS = 8
 
 
