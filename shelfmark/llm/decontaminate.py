@@ -19,7 +19,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import TEXT_WORD, cut, row_key, small, stored
+from shelfmark.llm.common import TEXT_WORD, cut, fresh, row_key, small, stored
 
 WINDOW = 10
 SLOP = 2
@@ -112,8 +112,10 @@ def matched_words(postings: DataFrame, found: DataFrame, terms_of: DataFrame, sl
     shifts = F.explode(F.sequence(F.lit(-slop), F.lit(slop))).alias("_shift")
     wanted = found.join(small(terms_of, 40), "item").select("row_id", "item", "diagonal", "n", "k", "term_id", shifts)
     wanted = cut(wanted.withColumn("pos", F.col("diagonal") + F.col("k") + F.col("_shift")).where("pos >= 0"))
-    real = postings.where(F.col("term_id") >= 0).select("term_id", "row_id", "pos")
-    met = real.join(small(wanted, 24), ["row_id", "term_id", "pos"])
+    # only the postings of rows with a diagonal go on, so the join moves little whatever its kind
+    held = small(cut(found.select("row_id").distinct()), 16)
+    real = postings.where(F.col("term_id") >= 0).select("term_id", "row_id", "pos").join(held, "row_id", "left_semi")
+    met = real.join(wanted, ["row_id", "term_id", "pos"])
     return met.groupBy("row_id", "item", "diagonal", "n", "k").agg(F.max(F.col("_shift") == 0).alias("exact"))
 
 
@@ -146,7 +148,7 @@ def contamination(
     A window is ten consecutive words of an item, or the whole of a shorter one. ``n_hit`` counts the
     document words inside any exact occurrence; ``items`` are those with an occurring window.
     ``n_near_items`` counts items of which ``near_words`` of a window's ten words (in proportion for
-    shorter items) stand within ``slop`` places of theirs.
+    shorter items) stand within ``slop`` places of theirs, the two rarest among them.
 
     Null and empty texts have no words, in documents and items alike. Repeated documents each get
     their own row; repeated items count once per id. With an empty benchmark nothing is hit. Other
@@ -193,6 +195,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no window of the benchmark; columns and repeated rows stay as they are."""
     keyed = docs.select(row_key().alias("doc_id"), "text")
     found = contamination(keyed, benchmark).where("contaminated")
-    found = cut(found.select(F.col("doc_id").alias("_row_key")).distinct())
-    kept = docs.withColumn("_row_key", row_key()).join(small(found, 80), "_row_key", "left_anti")
+    key = fresh("_row_key", docs)
+    found = cut(found.select(F.col("doc_id").alias(key)).distinct())
+    kept = docs.withColumn(key, row_key()).join(small(found, 80), key, "left_anti")
     return kept.select(*docs.columns)
