@@ -165,8 +165,8 @@ def _batches(texts: list[str], characters: int) -> Iterator[list[str]]:
 def with_repetition(
     df: DataFrame,
     least: int = 10,
-    most_covered: float = 0.5,
-    most_repeat: int = 200,
+    most_covered: float = 0.35,
+    most_repeat: int = 100,
     characters: int = 1 << 20,
 ) -> DataFrame:
     """Add the measures of ``FIELDS``, ``base_failed`` and ``kept`` to every row.
@@ -175,7 +175,8 @@ def with_repetition(
     of the longest repeat; ``n_repeats``: places where a left-maximal repeat of that length starts.
     A row is kept unless it fails the base rules (under 50 words, or more than half of its words in
     repeated 3-word windows), or more than ``most_covered`` of its words are covered, or its longest
-    repeat exceeds ``most_repeat`` words. ``characters`` bounds how much text is sorted at once; a
+    repeat exceeds ``most_repeat`` words. Covered words also lie in repeated 3-word windows, so a
+    ``most_covered`` of 0.5 or more rejects nothing that the base rules keep. ``characters`` bounds how much text is sorted at once; a
     longer text is sorted alone and whole.
 
     Null and empty texts have no words, so they fail the base rules. Equal rows get equal results.

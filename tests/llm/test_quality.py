@@ -67,6 +67,18 @@ def test_repetition_judges_spans_not_single_words(spark):
     assert kept == {0: (True, 0), 1: (True, 60), 2: (False, 150), 3: (False, 800)}
 
 
+def test_each_limit_rejects_texts_that_pass_the_base_rules(spark):
+    fresh = [f"u{i}" for i in range(2000)]
+    # 8 x 25 of 500 words in short repeats; 2 x 120 of 1200 words in one long repeat; below both limits
+    scattered = [w for i in range(4) for w in fresh[25 * i : 25 * i + 25] * 2 + fresh[200 + 75 * i : 275 + 75 * i]]
+    texts = [scattered, fresh[:1080] + fresh[:120], fresh[:1100] + fresh[:100]]
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id int, text string")
+    found = {r.doc_id: r for r in repetition.with_repetition(rows).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert [(found[i].n_covered, found[i].longest_repeat, found[i].kept) for i in range(3)] == [
+        (200, 25, False), (240, 120, False), (200, 100, True)]
+
+
 def test_language_of_held_out_texts(spark):
     rows = QUERIES["op3_language"](spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id").collect()
     held = [r for r in rows if r.held_out]
