@@ -281,5 +281,6 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     # rows alike in id and text lie in one partition after the join; the first of them stays
     alike = Window.partitionBy(key).orderBy(F.lit(1))
     kept = kept.withColumn(number, F.row_number().over(alike)).where(F.col(number) == 1).select(*docs.columns)
-    found = F.regexp_instr("text", F.lit(TEXT_WORD))
+    # the join looks for words in lower case: a text of capitals only has some
+    found = F.regexp_instr(F.lower("text"), F.lit(TEXT_WORD))
     return kept.unionByName(docs.where(F.coalesce(found, F.lit(0)) == 0))

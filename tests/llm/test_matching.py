@@ -181,6 +181,12 @@ def test_jaccard_join_equals_brute_force(spark, monkeypatch, block):
     assert kept == {i for i, (head, _) in jaccard_plainly(texts).items() if head == i}
 
 
+def test_texts_of_capitals_are_kept_once(spark):
+    texts = ["ERTIWH,!! THLYOR!! INWHAT."] * 3 + ["ERTIWH THLYOR INWHAT", "OTHER.", "...", "", None, "..."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in near.one_per_class(docs).collect()) == [0, 4, 5, 6, 7, 8]
+
+
 def test_bands_reach_the_recall():
     bands, rows = near.banding(0.8, 0.995, 192)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.995 and bands * rows <= 192
