@@ -16,33 +16,41 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import fresh, held_out
+from shelfmark.llm.common import cut, fresh, held_out, small
 
 UNKNOWN = "und"
 
 
+def middle(text: str, size: int) -> bytes:
+    """At most ``size`` bytes from the middle of a text in UTF-8, of whole characters."""
+    data = text.encode("utf-8", "replace")
+    begin = max(0, len(data) - size) // 2
+    return data[begin : begin + size].decode("utf-8", "ignore").encode("utf-8")
+
+
 def learn_samples(df: DataFrame, per_language: int, sample_bytes: int) -> dict[str, bytes]:
     """Dictionary content per language, from rows outside the held-out fold.
 
-    At most ``per_language`` texts of each language, those with the smallest content hash, so
-    reruns agree; each gives an equal share of the ``sample_bytes``. Spark keeps the first rows of
-    each language per task before it shuffles.
+    At most ``per_language`` different texts of each language, those with the smallest content hash,
+    so reruns agree; copies count once. Each gives a stretch of no more than its equal share of the
+    ``sample_bytes`` as UTF-8. Only hashes are compared; the texts of those chosen are read after.
     """
     known = df.where(F.col("lang").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "doc_id")
-    share = max(1, sample_bytes // per_language)
-    hashed = known.select("lang", "doc_id", "text").withColumn("_n", F.row_number().over(order))
-    rows = hashed.where(F.col("_n") <= per_language).select("lang", "_n", "text")
+    order = Window.partitionBy("lang").orderBy("_hash")
+    share = max(1, sample_bytes // per_language - 1)  # a line break goes with each
+    hashed = known.select("lang", F.xxhash64("text").alias("_hash"), "text")
+    # copies merge in every task; then Spark keeps the first rows of each language per task
+    ranked = hashed.select("lang", "_hash").distinct().withColumn("_n", F.row_number().over(order))
+    chosen = small(cut(ranked.where(F.col("_n") <= per_language)), 48)
+    rows = hashed.join(chosen, ["lang", "_hash"])
     # a stretch from the middle of a longer text: no text is privileged at its start
     start = F.greatest(F.lit(1), ((F.length("text") - share) / 2).cast("int"))
     rows = rows.select("lang", "_n", F.substring(F.col("text"), start, F.lit(share)).alias("text"))
+    rows = rows.groupBy("lang", "_n").agg(F.min("text").alias("text"))
     samples: dict[str, list[tuple[int, str]]] = {}
     for r in rows.collect():  # at most per_language short stretches per language
-        samples.setdefault(r["lang"], []).append((r["_n"], r["text"]))
-    return {
-        lang: "\n".join(t for _, t in sorted(parts)).lower().encode("utf-8")[:sample_bytes]
-        for lang, parts in sorted(samples.items())
-    }
+        samples.setdefault(r["lang"], []).append((r["_n"], middle(r["text"].lower(), share)))
+    return {lang: b"\n".join(t for _, t in sorted(parts)) for lang, parts in sorted(samples.items())}
 
 
 class Classifier:

@@ -89,6 +89,17 @@ def test_language_of_held_out_texts(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_samples_take_different_texts_whole(spark):
+    texts = [f"copied {i} ends" for i in range(20)] * 100
+    rows = [(None, "en", t) for t in texts] + [(None, "ru", "ж" * 2000 + f" {i:04} " + "ж" * 2000) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    samples = language.learn_samples(docs, 160, 96 << 10)
+    assert sorted(samples["en"].decode().split("\n")) == sorted(set(texts))
+    parts = samples["ru"].decode().split("\n")
+    assert sorted(p.strip("ж") for p in parts) == [f" {i:04} " for i in range(160)]
+    assert 90 << 10 < len(samples["ru"]) <= 96 << 10
+
+
 def test_toxicity_of_held_out_texts(spark):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
