@@ -4,7 +4,9 @@ Emails, addresses, card and phone numbers are found by pattern. Each distinct va
 entity. Terms that stand near mentions of an entity are weighed by corpus co-occurrence: with n
 documents, an entity's information is ``IC(e) = log2(n / df(e))`` and a term tells
 ``PMI(t, e) = log2(n * df(t, e) / (df(t) * df(e)))`` of it. The share ``PMI / IC`` is 1 if the term
-occurs with the entity only. Terms above one threshold are removed, terms above a lower one are
+occurs with the entity only. A term that few of an entity's texts show counts by the part of them
+that do, so that chance words of one mention weigh little; an entity of one text has no others to ask.
+Terms above one threshold are removed, terms above a lower one are
 generalised to their shape, in every document that mentions the entity.
 """
 
@@ -125,21 +127,25 @@ def disclosures(
 ) -> DataFrame:
     """``entity``, ``term``, ``share`` and ``kind`` of the terms that reveal an entity.
 
-    ``least``: different texts that must show a term near the entity before it is weighed.
+    ``least``: a term that fewer different texts show near the entity has its share multiplied by
+    the part of the entity's texts that show it.
     """
     together = near_terms(found, context).distinct().groupBy("entity", "term")
     together = together.agg(F.count_distinct("row_key").alias("both"), F.count_distinct("text_key").alias("texts"))
-    together = cut(together.where(F.col("texts") >= least))
-    entities = found.groupBy("entity").agg(F.count_distinct("row_key").alias("df_entity"))
+    together = cut(together)
+    entities = found.groupBy("entity").agg(
+        F.count_distinct("row_key").alias("df_entity"), F.count_distinct("text_key").alias("entity_texts")
+    )
     wanted = cut(together.select("term").distinct())
     terms = docs.select(F.explode(F.array_distinct(words_of(F.col("text")))).alias("term"))
-    # counts merge in every task before they travel
-    counts = terms.join(small(wanted, 48), "term").groupBy("term").agg(F.count("*").alias("df_term"))
+    # counts merge in every task before they travel, also where the wanted terms are too many to broadcast
+    counts = terms.groupBy("term").agg(F.count("*").alias("df_term")).join(small(wanted, 48), "term")
     total = docs.where(F.col("text").isNotNull()).count()
     rows = together.join(entities, "entity").join(counts, "term").withColumn("n", F.lit(float(total)))
     information = F.log2(F.col("n") / F.col("df_entity"))
     pointwise = F.log2(F.col("n") * F.col("both") / (F.col("df_term").cast("double") * F.col("df_entity")))
-    share = F.when(information > 0, pointwise / information).otherwise(0.0)
+    support = F.when(F.col("texts") >= least, 1.0).otherwise(F.col("texts") / F.col("entity_texts"))
+    share = F.when(information > 0, support * pointwise / information).otherwise(0.0)
     kind = F.when(F.col("share") >= remove, "removed").otherwise("generalised")
     rows = rows.select("entity", "term", share.alias("share")).where(F.col("share") >= generalise)
     return cut(rows.withColumn("kind", kind))
@@ -206,13 +212,14 @@ def sanitise(
     """One row per document row: ``doc_id``, ``text``, a span column per kind (``email``, ``ip``,
     ``card``, ``phone``, ``generalised``, ``removed``) and ``sanitised``, the text with them replaced.
 
-    A term is a word (``TEXT_WORD``, lower case). It is weighed if at least ``least`` different texts
-    show it within ``context`` words of the same entity, and it is replaced wherever it stands in
-    a document that mentions that entity. Counts are over all documents, copies included.
+    A term is a word (``TEXT_WORD``, lower case) within ``context`` words of an entity. All are weighed;
+    those that fewer than ``least`` different texts show there count by the part of the entity's texts
+    that do. A term over a threshold is replaced wherever it stands in a document that mentions
+    the entity. Counts are over all documents, copies included.
 
     Null texts have no spans and stay null; empty ones stay empty. Repeated rows get equal results.
-    With an empty table, or no entity in two texts, nothing is added to the base spans. Only
-    ``doc_id`` and ``text`` are read.
+    With an empty table, or no entity, nothing is added to the base spans. Only ``doc_id`` and
+    ``text`` are read.
     """
     rows = with_base_spans(docs)
     some = rows.where(F.size(F.concat(*KINDS)) > 0)

@@ -85,6 +85,18 @@ def test_terms_that_reveal_an_entity_are_removed(spark):
     assert [s.value for s in softer[0].generalised] == ["Zorblatt"] and "xxxxxxxx" in softer[0].sanitised
 
 
+def test_terms_of_an_entity_in_one_text_are_weighed(spark):
+    rows = [(0, "Ask Zorblatt in town via zed@corp.example about the plan")]
+    rows += [(1 + i, f"ask about the plan in town via other{i}") for i in range(300)]
+    rows += [(900, "zorblatt is not named with the address here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.sanitise(docs, remove=0.95).collect()}
+    assert [s.value for s in out[0].generalised] == ["Zorblatt"] and out[0].removed == []
+    assert out[900].sanitised == out[900].text
+    found = {r.doc_id: r for r in QUERIES["op1_sanitise"](spark, SF).collect()}
+    assert sum(r.n_generalised + r.n_removed for r in found.values()) > 0
+
+
 def test_the_main_path_of_native_operators_has_no_python(spark):
     for name in ("op1_sanitise", "op4_decontaminate", "op6_line_dedup"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
