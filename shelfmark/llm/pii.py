@@ -158,7 +158,7 @@ def term_patterns(found: DataFrame, revealing: DataFrame) -> DataFrame:
     listed = worst.groupBy("row_key").agg(
         *[F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("term")))).alias(k) for k in TERM_KINDS]
     )
-    either = {k: F.when(F.size(k) > 0, F.concat(F.lit(f"(?i)(?<!{EDGE})(?:"), F.array_join(k, "|"), F.lit(f")(?!{EDGE})"))) for k in TERM_KINDS}
+    either = {k: F.when(F.size(k) > 0, F.concat(F.lit(f"(?iu)(?<!{EDGE})(?:"), F.array_join(k, "|"), F.lit(f")(?!{EDGE})"))) for k in TERM_KINDS}
     return cut(listed.select("row_key", *[either[k].alias(f"_{k}") for k in TERM_KINDS]))
 
 

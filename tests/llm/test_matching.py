@@ -97,6 +97,14 @@ def test_terms_of_an_entity_in_one_text_are_weighed(spark):
     assert sum(r.n_generalised + r.n_removed for r in found.values()) > 0
 
 
+def test_terms_with_other_capitals_are_found(spark):
+    rows = [(i, f"Ask Özdemir in town via oz@corp.example about ÉMILE {i}") for i in range(2)]
+    rows += [(10 + i, f"ask in town via about {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.sanitise(docs).collect()}
+    assert [s.value for s in out[0].removed] == ["Özdemir", "ÉMILE"]
+
+
 def test_the_main_path_of_native_operators_has_no_python(spark):
     for name in ("op1_sanitise", "op4_decontaminate", "op6_line_dedup"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
