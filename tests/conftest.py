@@ -15,8 +15,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield configure(session)
     session.stop()
-
-
-def rows(df):
-    """Rows as sorted tuples, nulls first."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((v is not None, str(v)) for v in t))

@@ -1,6 +1,6 @@
 import json
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from checks.views import view
