@@ -8,15 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import documents, held_out
+from shelfmark.llm.common import documents, held_out, prepare
 from shelfmark.llm.decontaminate import contamination
+from shelfmark.llm.exact import dedup_files
 from shelfmark.llm.language import identify_language
 from shelfmark.llm.lines import dedup_report
 from shelfmark.llm.mixing import mix
 from shelfmark.llm.near import jaccard_join
+from shelfmark.llm.negatives import hard_negatives
 from shelfmark.llm.pii import digest, sanitise
 from shelfmark.llm.repetition import with_repetition
 from shelfmark.llm.sharding import shard_documents
+from shelfmark.llm.spelling import SPOILED, corpus_words, spelling_groups
 from shelfmark.llm.tokens import Vocabulary, materialise
 from shelfmark.llm.toxicity import train, with_toxicity
 
@@ -72,6 +75,23 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_repetition(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(corpus_words(documents(spark, sf_dir), every=SPOILED))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return hard_negatives(
+        rows.select(vec_id.alias("id"), F.col("embedding").alias("vector"), moved.alias("label"), (vec_id % 50 == 0).alias("is_anchor"))
+    )
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_files(prepare(spark), f"{sf_dir}/documents.parquet")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sanitise": op1_sanitise,
     "op2_toxicity": op2_toxicity,
@@ -83,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_training_order": op9_training_order,
     "op10_repetition": op10_repetition,
+    "op11_spelling": op11_spelling,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 # Closed form of the shared level: the largest over all prefixes of sources by cap per weight.
@@ -119,4 +142,32 @@ JOIN plans p ON d.source IS NOT DISTINCT FROM p.source
 JOIN running r ON d.source IS NOT DISTINCT FROM r.source AND d.k = r.k
 """
 
-ORACLES = {"op7_mixing": MIX_SQL}
+NEGATIVES_SQL = """
+WITH whole AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.id <> b.id AND a.id % 50 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+       s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT s.same
+  AND 100 * s.score BETWEEN 50 * p.positive_score AND 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+EXACT_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(COALESCE(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY COALESCE(text, ''))
+"""
+
+ORACLES = {"op7_mixing": MIX_SQL, "op12_hard_negatives": NEGATIVES_SQL, "op13_exact_dedup": EXACT_SQL}
