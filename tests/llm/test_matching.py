@@ -267,16 +267,29 @@ def test_near_lines_equal_brute_force(spark):
             head[a] = head[b] = min(head[a], head[b])
     seen, kept = set(), []
     for line in every:
-        label = head.get(digest.get(line))
+        label = head.get(digest.get(line), line if line.strip() else None)
         kept.append(label is None or label not in seen)
         seen.add(label)
-    rows = lines.marked_lines(docs).orderBy("doc_id", "line_no").collect()
+    rows = lines.marked_lines(lines.numbered_rows(docs)).orderBy("doc_id", "line_no").collect()
     assert [r.kept for r in rows] == kept
     shorter = {r.doc_id: r.text for r in lines.without_repeated_lines(docs).collect()}
     for i in range(20):
         assert shorter[i] == "\n".join(x for x, k in zip(every[i * 8 : i * 8 + 8], kept[i * 8 : i * 8 + 8], strict=True) if k)
 
 
+def test_lines_of_repeated_rows_rows_without_id_and_short_lines(spark):
+    texts = [
+        (1, "ok ok\nanother line of some length\n\nok ok"), (1, "ok ok\nanother line of some length\n\nok ok"),
+        (None, "unique one two three\nok ok"), (None, "unique four five six"), (None, None), (2, "ok\n \n \nok!\nanother lime of some length"),
+    ]
+    docs = spark.createDataFrame([(*t, "x") for t in texts], "doc_id long, text string, row_id string")
+    found = lines.without_repeated_lines(docs)
+    assert found.columns == docs.columns
+    wanted = ["ok ok\nanother line of some length\n", "", "unique one two three", "unique four five six", None, "ok\n \n \nok!"]
+    assert sorted((str(r.text) for r in found.collect())) == sorted(map(str, wanted))
+    assert {r.row_id for r in found.collect()} == {"x"}
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_edges(spark, edges, nothing, empty):
     docs = nothing if empty else edges
