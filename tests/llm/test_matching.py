@@ -250,6 +250,19 @@ def test_banded_distance_equals_the_full_table(spark):
             assert r.within == (distance(r.a, r.b) <= k)
 
 
+def test_signatures_of_near_lines_differ_by_two_an_edit(spark):
+    draw = random.Random(6)
+    pairs = []
+    for _ in range(600):
+        a = "".join(draw.choice("abeé ") for _ in range(draw.choice([12, 40, 94, 95, 96, 97, 98, 99, 100, 150])))
+        pairs.append((a, edited(draw, a, draw.randrange(3))))
+    df = spark.createDataFrame([p for p in pairs if len(p[1]) >= 12 and distance(*p) <= 2], "one string, two string")
+    difference = lines.count_difference(lines.signature(F.col("one")), lines.signature(F.col("two")))
+    assert df.where(difference > 4).count() == 0
+    short = lines.without_common_ends(df, 3).select("one", "two", "_one", "_two").collect()
+    assert all(distance(r._one, r._two) == distance(r.one, r.two) and min(len(r._one), len(r._two)) >= 3 for r in short)
+
+
 def test_near_lines_equal_brute_force(spark):
     draw = random.Random(5)
     base = ["".join(draw.choice("abcé ") for _ in range(draw.randrange(10, 30))) for _ in range(40)]
