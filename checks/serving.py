@@ -246,6 +246,13 @@ def _(spark, sf):
     return search.ranked_search(base.gold(spark, sf), SearchSpec(), 48, 48).select("id", "field_identifier", "title")
 
 
+@query("cursor_page", "gold", "SELECT id, field_identifier, title FROM gold ORDER BY has_image DESC, field_identifier ASC NULLS LAST, id LIMIT 48 OFFSET 48")
+def _(spark, sf):
+    rows = base.gold(spark, sf).select("id", "field_identifier", "title", "has_image")
+    last = search.cursor_page(rows, search.BROWSE_ORDER, 48).select("cursor").collect()[-1].cursor
+    return search.cursor_page(rows, search.BROWSE_ORDER, 48, last).select("id", "field_identifier", "title")
+
+
 @query("search_totals", "gold", f"SELECT count(*) FILTER ({_has('brand#2')} AND year_created >= 1850) AS filtered, count(*) AS total FROM gold")
 def _(spark, sf):
     return search.search_totals(base.gold(spark, sf), SearchSpec(term="Brand#2", min_year=1850))
@@ -261,8 +268,7 @@ def _others(facet: str) -> str:
 
 def _distinct_facet(facet: str, column: str) -> str:
     return f"""SELECT '{facet}' AS facet, v AS value, count(*) AS count FROM (SELECT DISTINCT field_identifier, {sql.strip('p')} AS v FROM (
-      SELECT field_identifier, unnest(string_split({column}, '|')) AS p FROM gold WHERE {_others(facet)} AND {column} IS NOT NULL)) WHERE v <> '' GROUP BY v
-      QUALIFY row_number() OVER (ORDER BY count(*) DESC, v) <= 1000"""
+      SELECT field_identifier, unnest(string_split({column}, '|')) AS p FROM gold WHERE {_others(facet)} AND {column} IS NOT NULL)) WHERE v <> '' GROUP BY v"""
 
 
 @query("responsive_facets", "gold", f"""

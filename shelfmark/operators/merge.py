@@ -64,16 +64,22 @@ def upsert_key(df: DataFrame) -> Column:
     raise ValueError("no key column: record_id, field_identifier or access_nbr")
 
 
+def content_key(df: DataFrame) -> Column:
+    """A key of the row's whole content. A column that is null counts as one that is not there."""
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)])).cast("binary"))
+
+
 def upsert_latest(
     master: DataFrame | None, deltas: DataFrame, batch_time: str, row: str, full_extract: bool = False
 ) -> DataFrame:
     """Master after the change batches: the latest row of each key by (batch time, row).
 
-    A full extract replaces the master.
+    Rows without a key are told apart by their content, so merging a batch again adds none of them anew. A full
+    extract replaces the master.
     """
     rows = deltas if master is None or full_extract else master.unionByName(deltas, allowMissingColumns=True)
-    latest = [F.col(batch_time).desc_nulls_last(), F.col(row).desc_nulls_last()]
-    return keep_one(rows, [upsert_key(rows)], latest)
+    latest = [F.col(batch_time).desc_nulls_last(), F.col(row).desc_nulls_last(), content_key(rows).asc()]
+    return keep_one(rows, [spread_nulls(upsert_key(rows).cast("string"), content_key(rows))], latest)
 
 
 def changed_since(df: DataFrame, watermark, changed: str = "change_dte", added: str = "add_dte") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,3 +144,42 @@ def request_metrics(requests: DataFrame, width: str = "1 day", time: str = "ts")
         F.round(F.col("_ms") / F.col("requests"), 3).alias("avg_ms"),
         "max_ms",
     )
+
+
+SKETCH_K = 200
+
+
+def latency_percentiles(
+    requests: DataFrame, ranks: Sequence[float] = (0.5, 0.95, 0.99), width: str = "1 day", time: str = "ts"
+) -> DataFrame:
+    """Exact latency percentiles by window and endpoint (interpolated): ``p50``, ``p95`` and so on."""
+    grouped = requests.groupBy(F.window(time, width).alias("w"), "endpoint").agg(
+        F.count("response_time_ms").alias("requests"), F.percentile("response_time_ms", list(ranks)).alias("_p")
+    )
+    return grouped.select(F.col("w.start").alias("window_start"), "endpoint", "requests", *_named(ranks, lambda i: F.col("_p")[i]))
+
+
+def latency_sketches(requests: DataFrame, width: str = "1 hour", time: str = "ts", k: int = SKETCH_K) -> DataFrame:
+    """A quantile sketch of the latency by window and endpoint: some kB however many requests. Works on streams and tables."""
+    grouped = requests.groupBy(F.window(time, width).alias("w"), "endpoint").agg(
+        F.count("response_time_ms").alias("requests"), F.kll_sketch_agg_double("response_time_ms", k).alias("sketch")
+    )
+    return grouped.select(F.col("w.start").alias("window_start"), "endpoint", "requests", "sketch")
+
+
+def rolled_up_percentiles(
+    sketches: DataFrame, ranks: Sequence[float] = (0.5, 0.95, 0.99), width: str = "1 day", k: int = SKETCH_K
+) -> DataFrame:
+    """Approximate percentiles of wider windows from the sketches alone: hours merge into days without the requests.
+
+    With ``k`` 200 the answer's rank is off by no more than about 1.65 % (99 % confidence).
+    """
+    grouped = sketches.groupBy(F.window("window_start", width).alias("w"), "endpoint").agg(
+        F.sum("requests").alias("requests"), F.kll_merge_agg_double("sketch", k).alias("_sketch")
+    )
+    at = _named(ranks, lambda i: F.kll_sketch_get_quantile_double("_sketch", F.lit(float(ranks[i]))))
+    return grouped.select(F.col("w.start").alias("window_start"), "endpoint", "requests", *at)
+
+
+def _named(ranks: Sequence[float], value: Callable[[int], Column]) -> list[Column]:
+    return [value(i).alias(f"p{100 * r:g}".replace(".", "_")) for i, r in enumerate(ranks)]

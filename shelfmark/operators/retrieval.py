@@ -1,93 +1,56 @@
 """Keyword retrieval: the best catalogue records for each of many questions.
 
-A keyword counts where it occurs anywhere in a field, so questions and records share no join key.
-Instead of pairing them, every task scans its own records once against the questions' keywords and
-keeps only the best n per question; a last ranking merges these short lists. Questions are taken
-in rounds of a fixed number, so what is sent to the tasks is bounded however many there are.
+A keyword counts where it occurs anywhere in a field, so questions and records share no join key. Keywords hold
+no white space, so each occurrence lies inside one word of the field:
+
+1. The different words of the catalogue are indexed by their three-letter grams. Each different keyword is looked up
+   by its rarest gram only, and ``contains`` verifies the words that come back.
+2. Matched words lead to the records by the postings (word, record, field); a keyword counts once per field.
+3. Records meet questions by keyword. Both sides are salted by record, so a keyword of a third of all records is
+   dealt out. The points add up per question and record, and a ranked window keeps the best n.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-import ahocorasick
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from shelfmark.functions.fixed import RETRIEVAL_WEIGHTS, STOP_WORDS, WHITE_SPACE_CLASS
+from shelfmark.operators.merge import lookup_join
+from shelfmark.session import cut_lineage
 
-QUESTIONS_PER_ROUND = 8_192  # questions sent to the tasks at a time
-RECORDS_PER_BLOCK = 256  # records scored before the best are kept
+GRAM = 3
+SALTS = 16
+
+
+def _words(text: Column) -> Column:
+    return F.split(F.lower(text), f"[{WHITE_SPACE_CLASS}]+")
 
 
 def keywords_of(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """Lower-case words longer than two letters that are not stop words (repeats stay)."""
-    words = F.split(F.lower(text), f"[{WHITE_SPACE_CLASS}]+")
-    return F.filter(words, lambda w: (F.length(w) > 2) & ~w.isin(list(stop_words)))
-
-
-def _scorer(questions: list[tuple[int, list[str]]], key: str, weights: Mapping[str, int], n: int):
-    """A ``mapInPandas`` function that yields each task's best n records per question."""
-    ids = np.array([q for q, _ in questions])
-    vocabulary = {w: i for i, w in enumerate(sorted({w for _, words in questions for w in words}))}
-    # postings: for each keyword, the questions that ask for it (a repeated keyword counts again)
-    pairs = sorted((vocabulary[w], column) for column, (_, words) in enumerate(questions) for w in words)
-    asked_by = np.array([column for _, column in pairs], dtype=np.int32)
-    starts = np.searchsorted([v for v, _ in pairs], np.arange(len(vocabulary) + 1))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        automaton = ahocorasick.Automaton()
-        for word, index in vocabulary.items():
-            automaton.add_word(word, index)
-        automaton.make_automaton()
-
-        def found_in(text: str) -> set[int]:
-            return {index for _, index in automaton.iter(text)}
-
-        def points_of(fields: tuple) -> np.ndarray:
-            """Score of one record for every question."""
-            total = np.zeros(len(ids))
-            for weight, text in zip(weights.values(), fields):
-                # keywords hold no white space, so a text is its set of words
-                words = set(text.lower().split()) if text else ()
-                found = np.fromiter(found_in(" ".join(words)), dtype=np.int64) if words else starts[:0]
-                if len(found):
-                    # the postings of all keywords found, one after another
-                    sizes = starts[found + 1] - starts[found]
-                    shift = starts[found] - (np.cumsum(sizes) - sizes)
-                    columns = asked_by[np.arange(sizes.sum()) + np.repeat(shift, sizes)]
-                    total += weight * np.bincount(columns, minlength=len(ids))
-            return total
-
-        def best(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values(["question", "score", key], ascending=[True, False, True])
-            return rows.groupby("question", sort=False).head(n)
-
-        kept = None
-        for batch in batches:
-            batch = batch.sort_values(key)
-            pieces = [] if kept is None else [kept]
-            for start in range(0, len(batch), RECORDS_PER_BLOCK):
-                rows = batch.iloc[start : start + RECORDS_PER_BLOCK]
-                scores = np.stack([points_of(fields) for fields in zip(*(rows[f] for f in weights))])
-                # earlier rows win ties: rows are in key order
-                tie = np.linspace(0.9, 0.0, len(rows), endpoint=False)[:, None]
-                take = min(n, len(rows))
-                order = np.argpartition(-(scores + tie), take - 1, axis=0)[:take]
-                values = np.take_along_axis(scores, order, axis=0)
-                row, column = np.nonzero(values)
-                keys = rows[key].to_numpy()[order[row, column]]
-                found = {"question": ids[column], key: keys, "score": values[row, column].astype(np.int64)}
-                pieces.append(pd.DataFrame(found))
-            kept = best(pd.concat(pieces, ignore_index=True))
-        if kept is not None:
-            yield kept
-
-    return score
+    return F.filter(_words(text), lambda w: (F.length(w) >= GRAM) & ~w.isin(list(stop_words)))
+
+
+def grams_of(word: Column) -> Column:
+    """The different three-letter grams of a word of three letters or more."""
+    starts = F.sequence(F.lit(1), F.length(word) - GRAM + 1)
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(word, i, F.lit(GRAM))))
+
+
+def words_containing(keywords: DataFrame, words: DataFrame) -> DataFrame:
+    """``keyword`` and ``word`` for every word (distinct) that contains the keyword (distinct, three letters or more)."""
+    index = words.where(F.length("word") >= GRAM).select("word", F.explode(grams_of(F.col("word"))).alias("gram"))
+    counts = index.groupBy("gram").agg(F.count("*").alias("held"))
+    # a gram that no word has rules its keyword out
+    asked = keywords.select("keyword", F.explode(grams_of(F.col("keyword"))).alias("gram"))
+    known = asked.join(counts, "gram", "left").groupBy("keyword")
+    rarest = known.agg(F.min_by("gram", F.struct(F.coalesce("held", F.lit(0)), "gram")).alias("gram"))
+    met = lookup_join(index, rarest, ["gram"])
+    return met.where(F.col("word").contains(F.col("keyword"))).select("keyword", "word")
 
 
 def retrieve(
@@ -101,25 +64,28 @@ def retrieve(
 ) -> DataFrame:
     """(``question_id``, ``key``, ``score``, ``rank``): the best n records with a score above 0.
 
-    ``question_id`` must be an integer column; ties go to the smaller key.
+    A field gives its weight once for every keyword of the question that it contains, repeats counted. ``question_id``
+    must be an integer column; ties go to the smaller key. Equal ids are one question, equal keys one record.
     """
-    asked = questions.select(F.col(question_id).cast("bigint").alias("question"), keywords_of(F.col(question)).alias("words"))
-    asked = asked.where(F.size("words") > 0)
-    rounds = max(1, -(-asked.count() // QUESTIONS_PER_ROUND))
-    fields = catalog.select(key, *weights)
-    schema = StructType([StructField("question", LongType()), fields.schema[key], StructField("score", LongType())])
-    results = []
-    for i in range(rounds):
-        mine = asked.where(F.pmod(F.xxhash64("question"), F.lit(rounds)) == i)
-        batch = [(r.question, list(r.words)) for r in mine.collect()]
-        if batch:
-            results.append(fields.mapInPandas(_scorer(batch, key, weights, n), schema))
-    if not results:
-        return fields.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1)).withColumnRenamed("question", question_id)
-    found = reduce(DataFrame.unionAll, results)
-    best = Window.partitionBy("question").orderBy(F.desc("score"), F.asc(key))
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
-    return ranked.withColumnRenamed("question", question_id)
+    asked = questions.select(F.col(question_id).cast("bigint").alias("question"), F.explode(keywords_of(F.col(question))).alias("keyword"))
+    asked = asked.groupBy("question", "keyword").agg(F.count("*").alias("times"))
+    texts = F.array(*[F.struct(F.lit(i).alias("field"), _words(F.col(f)).alias("words")) for i, f in enumerate(weights)])
+    fields = catalog.select(F.col(key).alias("record"), F.inline(texts)).where("words IS NOT NULL")
+    # narrow, and read twice: once for the index, once for the postings
+    fields = cut_lineage(fields.select("record", "field", F.array_distinct("words").alias("words")))
+    postings = fields.select("record", "field", F.explode("words").alias("word"))
+
+    matches = words_containing(asked.select("keyword").distinct(), postings.select("word").distinct())
+    # one bit per field, so that two words of a field count once
+    bit = F.element_at(F.array(*[F.lit(1 << i) for i in range(len(weights))]), F.col("field") + 1)
+    held = lookup_join(postings, matches, ["word"]).groupBy("keyword", "record").agg(F.bit_or(bit).alias("fields"))
+    points = reduce(lambda a, b: a + b, [F.bit_get("fields", F.lit(i)).cast("long") * w for i, w in enumerate(weights.values())])
+    held = held.select("keyword", "record", points.alias("points"), F.pmod(F.xxhash64("record"), F.lit(SALTS)).alias("salt"))
+    salted = asked.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    scores = held.join(salted, ["keyword", "salt"]).groupBy("question", "record").agg(F.sum(F.col("points") * F.col("times")).alias("score"))
+    best = Window.partitionBy("question").orderBy(F.desc("score"), F.asc("record"))
+    ranked = scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
+    return ranked.select(F.col("question").alias(question_id), F.col("record").alias(key), "score", "rank")
 
 
 def retrieval_context(

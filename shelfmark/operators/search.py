@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -86,6 +87,20 @@ def text_predicate(text: str) -> Column | None:
     return reduce(lambda a, b: a | b, alternatives) if alternatives else None
 
 
+def matching(catalog: DataFrame, text: str, made: Column | None = None, name: str = "score") -> DataFrame:
+    """Records that meet the search text, with the column ``made`` if there is one.
+
+    Match and column come out of one generator. A plain filter would be pushed below the projection that
+    folds the text, and would fold it anew for every term.
+    """
+    match = text_predicate(text)
+    if match is None:
+        return catalog if made is None else catalog.withColumn(name, made)
+    made = F.lit(True) if made is None else made
+    found = catalog.select("*", F.explode(F.filter(F.array(made), lambda _: match)).alias("_made"))
+    return found.withColumnRenamed("_made", name)
+
+
 def _facet_predicates(spec: SearchSpec) -> dict[str, Column]:
     """Predicates of the facet fields, by facet."""
     contains = {
@@ -99,11 +114,8 @@ def _facet_predicates(spec: SearchSpec) -> dict[str, Column]:
 
 
 def _common_predicates(spec: SearchSpec) -> list[Column]:
-    """Predicates that hold for every facet."""
+    """Predicates that hold for every facet, but for the search text's."""
     found: list[Column] = []
-    text = text_predicate(spec.term) if spec.term else None
-    if text is not None:
-        found.append(text)
     if spec.system == "Reference":
         found.append(F.col("field_collection_type") == "Research/Reference Books")
     elif spec.system == spec.labels.library:
@@ -121,15 +133,19 @@ def _common_predicates(spec: SearchSpec) -> list[Column]:
     return found
 
 
-def search(catalog: DataFrame, spec: SearchSpec, uploaded: DataFrame | None = None) -> DataFrame:
-    """Records that meet the spec. A shared collection replaces every other condition."""
+def search(catalog: DataFrame, spec: SearchSpec, uploaded: DataFrame | None = None, scored: bool = False) -> DataFrame:
+    """Records that meet the spec. A shared collection replaces every other condition. ``scored`` adds ``score``."""
+    score = rank_score(spec.term) if scored else None
     if spec.shared_ids:
-        return catalog.where(F.col("field_identifier").isin(list(spec.shared_ids)))
+        found = catalog.where(F.col("field_identifier").isin(list(spec.shared_ids)))
+        return found.withColumn("score", score) if scored else found
     if uploaded is not None:
         catalog = bulk_id_filter(catalog, uploaded)
     for predicate in [*_common_predicates(spec), *_facet_predicates(spec).values()]:
         catalog = catalog.where(predicate)
-    return catalog
+    if spec.term:
+        return matching(catalog, spec.term, score) if scored else matching(catalog, spec.term, name="_met").drop("_met")
+    return catalog.withColumn("score", score) if scored else catalog
 
 
 def bulk_id_filter(catalog: DataFrame, uploaded: DataFrame, column: str = "field_identifier") -> DataFrame:
@@ -163,21 +179,65 @@ def rank_score(text: str) -> Column:
 
 def ranked_search(catalog: DataFrame, spec: SearchSpec, limit: int = 48, offset: int = 0, tie: str = "id") -> DataFrame:
     """One page of results, best first; without a term, images first, then by identifier."""
-    found = search(catalog, spec)
+    found = search(catalog, spec, scored=bool(spec.term))
     order = [F.desc_nulls_last("has_image"), F.asc_nulls_last("field_identifier"), F.asc(tie)]
     if spec.term:
-        found = found.withColumn("score", rank_score(spec.term))
         order = [F.desc("score"), *order]
     return found.orderBy(*order).offset(offset).limit(limit)
 
 
+@dataclass(frozen=True)
+class By:
+    """One column of an order; nulls come last either way."""
+
+    column: str
+    descending: bool = False
+
+    def sort(self) -> Column:
+        return F.desc_nulls_last(self.column) if self.descending else F.asc_nulls_last(self.column)
+
+    def after(self, value: Column) -> Column:
+        """The column comes after ``value``, which is not null."""
+        column = F.col(self.column)
+        return F.coalesce(column < value if self.descending else column > value, F.lit(True))
+
+
+# Orders end in a column without repeats, so that every row has a place of its own.
+BROWSE_ORDER = (By("has_image", True), By("field_identifier"), By("id"))
+SCORE_ORDER = (By("score", True), *BROWSE_ORDER)
+DOSSIER_ORDER = (By("has_image", True), By("title"), By("id"))
+
+
+def after_cursor(df: DataFrame, order: Sequence[By], cursor: str) -> Column:
+    """The row comes after the cursor's: equal in some first columns of the order, later in the next one."""
+    values = json.loads(cursor)
+    met, equal = F.lit(False), F.lit(True)
+    for by in order:
+        value = F.lit(values[by.column]).cast(df.schema[by.column].dataType)
+        if values[by.column] is not None:
+            met = met | (equal & by.after(value))
+        equal = equal & F.col(by.column).eqNullSafe(value)
+    return met
+
+
+def cursor_page(df: DataFrame, order: Sequence[By], limit: int, cursor: str | None = None) -> DataFrame:
+    """The first rows of an order, or those after a cursor, with the ``cursor`` of every row.
+
+    The last row's cursor asks for the next page. No row before it is sorted again, so deep pages cost what the first one does.
+    """
+    rows = df if cursor is None else df.where(after_cursor(df, order, cursor))
+    place = F.to_json(F.struct(*[F.col(by.column) for by in order]), {"ignoreNullFields": "false"})
+    return rows.orderBy(*[by.sort() for by in order]).limit(limit).withColumn("cursor", place)
+
+
 def search_totals(catalog: DataFrame, spec: SearchSpec) -> DataFrame:
     """Matching and overall record counts from one scan."""
     met = F.lit(True)
     if spec.shared_ids:
         met = F.col("field_identifier").isin(list(spec.shared_ids))
     else:
-        for predicate in [*_common_predicates(spec), *_facet_predicates(spec).values()]:
+        text = text_predicate(spec.term) if spec.term else None
+        for predicate in [*_common_predicates(spec), *_facet_predicates(spec).values(), *([] if text is None else [text])]:
             met = met & predicate
     return catalog.agg(F.count_if(met).alias("filtered"), F.count("*").alias("total"))
 
@@ -209,6 +269,7 @@ def responsive_facets(
         fails = {f: F.lit(False) for f in FACETS}
     else:
         rows = reduce(lambda df, p: df.where(p), _common_predicates(spec), catalog)
+        rows = matching(rows, spec.term, name="_met").drop("_met") if spec.term else rows
 
     failed = reduce(lambda a, b: a + b, [f.cast("int") for f in fails.values()])
     rows = rows.withColumn("_failed", failed).where("_failed <= 1")

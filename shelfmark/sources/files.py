@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
@@ -113,6 +113,73 @@ def read_lookup_pages(spark: SparkSession, path: str) -> DataFrame:
     return resolve_lookup(spark.read.option("multiLine", True).json(path))
 
 
+def read_id_list(spark: SparkSession, path: str) -> DataFrame:
+    """``field_identifier`` of the records of uploaded CSV lists, in the files under ``path``.
+
+    Line breaks and commas inside quotes do not separate, and two quotes inside quotes are one. If the first record
+    names a column ``field_identifier`` (in any case), that one is read; else the first column, without the first
+    record if it is called ``id`` or has ``identifier`` in its name. Blank values and blank lines are left out. An
+    upload is one file, read by one task.
+    """
+    text = F.regexp_replace("value", "^\ufeff", "")
+    # possessive, so that nothing is tried twice; a quote that is never closed goes to the end
+    records = F.regexp_extract_all(text, F.lit(r'(?:[^"\r\n]++|"[^"]*+(?:"|\z))++'), 0)
+    records = F.filter(F.transform(records, _bare), lambda r: r != "")
+    files = spark.read.text(path, wholetext=True).select(records.alias("records")).where(F.size("records") > 0)
+    first = _csv_fields(F.element_at("records", 1))
+    files = files.select("records", F.transform(first, F.lower).alias("names"))
+    at = F.array_position("names", "field_identifier").cast("int")
+    named = F.element_at("names", 1)
+    skip = F.when((at > 0) | (named == "id") | named.contains("identifier"), 1).otherwise(0)
+    rows = files.select(F.greatest(at, F.lit(1)).alias("at"), skip.alias("skip"), F.posexplode("records").alias("line", "record"))
+    value = F.get(_csv_fields(F.col("record")), F.col("at") - 1)
+    return rows.where(F.col("line") >= F.col("skip")).select(value.alias("field_identifier")).where("field_identifier != ''")
+
+
+def _bare(text: Column) -> Column:
+    return F.regexp_replace(text, r"^[\s\u00a0\ufeff]+|[\s\u00a0\ufeff]+$", "")
+
+
+def _csv_fields(record: Column) -> Column:
+    fields = F.regexp_extract_all(record, F.lit(r'(?:^|,)((?:[^",]++|"[^"]*+(?:"|\z))*+)'), 1)
+
+    def plain(field: Column) -> Column:
+        # a quoted part that another one follows ends in a quote
+        return _bare(F.regexp_replace(field, r'"([^"]*+)(?:"(?=(")|)|\z)', "$1$2"))
+
+    return F.transform(fields, plain)
+
+
+def list_media(spark: SparkSession, roots: Mapping[str, str], extensions: Sequence[str]) -> DataFrame:
+    """``subdir``, ``folder``, ``file_name``, ``path``, ``length`` and ``modified`` of the media files under the roots.
+
+    ``roots``: name to path. ``folder`` is the folder below the root that the file is in, at any depth (null: the root itself).
+    ``extensions`` are matched in any case. Spark lists the folders in parallel; contents are not read. Roots that do not exist
+    give no rows.
+    """
+    letters = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e) for e in extensions]
+    schema = "subdir string, folder string, file_name string, path string, length bigint, modified timestamp"
+    found = [spark.createDataFrame([], schema)]
+    for name, root in roots.items():
+        if not path_exists(spark, root):
+            continue
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        files = reader.option("pathGlobFilter", "*{" + ",".join(letters) + "}").load(root)
+        fs, target = _hadoop(spark, root)
+        below = F.substring("path", len(fs.makeQualified(target).toString().rstrip("/")) + 2, 1 << 30)
+        found.append(
+            files.select(
+                F.lit(name).alias("subdir"),
+                F.when(below.contains("/"), F.substring_index(below, "/", 1)).alias("folder"),
+                F.substring_index("path", "/", -1).alias("file_name"),
+                "path",
+                "length",
+                F.col("modificationTime").alias("modified"),
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write next to ``path``, then swap. A table being read is never overwritten in place."""
     spark = df.sparkSession

@@ -7,14 +7,14 @@ job with the same checkpoint continues where it stopped.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark.functions.fixed import ALERT_IGNORES, ALERT_WORDS
-from shelfmark.operators.merge import spread_nulls, upsert_key, upsert_latest
+from shelfmark.operators.merge import content_key, spread_nulls, upsert_key, upsert_latest
 from shelfmark.operators.metrics import request_metrics
 from shelfmark.session import cut_lineage
 from shelfmark.sources.files import REQUEST_LOG, path_exists, replace_table
@@ -52,6 +52,22 @@ def log_alerts(logs: DataFrame, width: str = "1 minute", late: str | None = None
     return alerts.select(F.col("w.start").alias("window_start"), "container", "lines", "first_ts", "last_ts")
 
 
+def alert_outbursts(logs: DataFrame, gap: str = "5 minutes", late: str | None = None) -> DataFrame:
+    """One alert per container and outburst: alert lines less than ``gap`` apart are one, however long it lasts.
+
+    ``opened`` and ``last_ts`` are the times of its first and last line, ``closed`` is ``gap`` after the last.
+    Sessions merge in each task before the shuffle and in the state of a stream; ``late`` sets the watermark
+    (streams), which closes an outburst once no line can join it any more.
+    """
+    rows = logs.where(is_alert(F.col("line")))
+    if late is not None:
+        rows = rows.withWatermark("ts", late)
+    alerts = rows.groupBy(F.session_window("ts", gap).alias("w"), "container").agg(
+        F.count("*").alias("lines"), F.max("ts").alias("last_ts")
+    )
+    return alerts.select("container", F.col("w.start").alias("opened"), "last_ts", F.col("w.end").alias("closed"), "lines")
+
+
 def start_request_log(spark: SparkSession, source: str, target: str, checkpoint: str) -> StreamingQuery:
     """Append JSON-line request logs to a table, each file exactly once."""
     rows = spark.readStream.schema(REQUEST_LOG).json(source)
@@ -69,26 +85,52 @@ def start_request_metrics(
 
 
 def start_log_alerts(logs: DataFrame, target: str, checkpoint: str, late: str = "10 minutes") -> StreamingQuery:
-    alerts = log_alerts(logs, late=late)
+    return _start_alerts(log_alerts(logs, late=late), target, checkpoint)
+
+
+def start_alert_outbursts(
+    logs: DataFrame, target: str, checkpoint: str, gap: str = "5 minutes", late: str = "10 minutes"
+) -> StreamingQuery:
+    """Outbursts, each written once, when the watermark has passed its end."""
+    return _start_alerts(alert_outbursts(logs, gap, late), target, checkpoint)
+
+
+def _start_alerts(alerts: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     writer = alerts.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start(target)
 
 
+def once(checkpoint: str, merge: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that leaves out batches whose number is in the ledger next to the checkpoint.
+
+    The number is written after the merge. A job that dies in between merges the batch again, which ``merge`` must bear.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        entry = f"{checkpoint}/merged/{number}"
+        spark = batch.sparkSession
+        if not path_exists(spark, entry):
+            merge(batch)
+            spark.range(1).write.mode("overwrite").parquet(entry)
+
+    return run
+
+
 def start_upsert(
     deltas: DataFrame, target: str, checkpoint: str, batch_time: str, row: str
 ) -> StreamingQuery:
     """Merge change batches into a table as they arrive.
 
     A micro-batch that is repeated after a failure gives the same table: the latest row of a key
-    wins by (batch time, row), not by arrival.
+    wins by (batch time, row), not by arrival, and rows without a key are told apart by content.
     """
 
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame) -> None:
         spark = batch.sparkSession
         master = spark.read.parquet(target) if path_exists(spark, target) else None
         replace_table(upsert_latest(master, batch, batch_time, row), target)
 
-    writer = deltas.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    writer = deltas.writeStream.foreachBatch(once(checkpoint, merge)).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
@@ -104,8 +146,8 @@ def merge_into_buckets(
     job dies while buckets are replaced, merging the same batch again gives the same table.
     """
     spark = batch.sparkSession
-    # rows without a key are spread over the buckets
-    key = spread_nulls(upsert_key(batch).cast("string"), F.col(row))
+    # rows without a key are spread over the buckets by content
+    key = spread_nulls(upsert_key(batch).cast("string"), content_key(batch))
     fresh = batch.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
     touched = [r[BUCKET] for r in fresh.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
     if not touched:
@@ -124,8 +166,8 @@ def start_bucket_upsert(
 ) -> StreamingQuery:
     """As ``start_upsert``, for tables too large to rewrite with every batch."""
 
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame) -> None:
         merge_into_buckets(batch, target, batch_time, row, buckets)
 
-    writer = deltas.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    writer = deltas.writeStream.foreachBatch(once(checkpoint, merge)).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

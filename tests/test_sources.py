@@ -122,3 +122,29 @@ def test_tagged_rows_reach_gold(spark):
     mine = found.where("source_system = 'Library'").orderBy("record_id")
     assert rows(mine.select("record_id", "field_identifier", "title", "field_genre", "year_created")) == [
         (7, "XB7", "A title", "POSTER", 1985), (8, "XB8", "A title", "POSTER", 1985)]
+
+
+def test_uploaded_id_lists(spark, tmp_path):
+    def ids(name, text):
+        (tmp_path / name).write_bytes(text.encode())
+        return sorted(r.field_identifier for r in files.read_id_list(spark, str(tmp_path / name)).collect())
+
+    assert ids("plain.csv", "a1\nb2\r\n\n c3 ,x\n") == ["a1", "b2", "c3"]
+    assert ids("named.csv", "\ufeffTitle, FIELD_Identifier\n\"one, two\",a1\nx\ny,\nz,b2\n") == ["a1", "b2"]
+    assert ids("id.csv", "ID\na1\nid\n") == ["a1", "id"]
+    assert ids("like.csv", "my identifier,b\na1,c") == ["a1"]
+    assert ids("quotes.csv", '"a ""b"" c",1\n"two\nlines",2\n"",3\n""x"",4\n"""",5\n"open, 6\n7') == ['"', 'a "b" c', "open, 6\n7", "two\nlines", "x"]
+    assert ids("none.csv", " \n\r\n") == []
+    assert len(ids("long.csv", "id\n" + "\n".join(f'"x ""{i}"""' for i in range(20_000)))) == 20_000
+
+
+def test_media_listing_reads_no_contents(spark, tmp_path):
+    for name in ("raw/A 1/one.TIF", "raw/A 1/deep/two.jpg", "raw/B/three.txt", "raw/four.jpeg", "done/five.JPG", "done/.hidden.jpg"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * len(name))
+    roots = {"objects": str(tmp_path / "raw"), "converted": f"{tmp_path}/done/", "library": str(tmp_path / "none")}
+    listing = files.list_media(spark, roots, (".jpg", ".jpeg", ".tif"))
+    assert rows(listing.select("subdir", "folder", "file_name", "length")) == [
+        ("converted", None, "five.JPG", 13), ("objects", None, "four.jpeg", 13), ("objects", "A 1", "one.TIF", 15), ("objects", "A 1", "two.jpg", 20)]
+    assert "content" not in listing._jdf.queryExecution().executedPlan().toString()
+    assert files.list_media(spark, {"library": str(tmp_path / "none")}, (".jpg",)).count() == 0

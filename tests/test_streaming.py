@@ -96,3 +96,38 @@ def test_bucket_upsert_rewrites_only_touched_buckets(spark, tmp_path):
     assert len({p.parent for p in set(before) ^ set(after)}) == 1
     wanted = upsert_latest(None, deltas.where("status = 'O'").unionByName(one_key), "add_dte", "row_id")
     assert rows(spark.read.parquet(target).drop(jobs.BUCKET)) == rows(wanted)
+
+
+def test_outbursts_stream_equals_batch_across_a_restart(spark, tmp_path):
+    folder, target, checkpoint = (str(tmp_path / d) for d in ("in", "out", "ck"))
+    logs = view(spark, SF, "logs")
+    timed = logs.withColumn("ts", F.col("ts").cast("timestamp"))
+    middle = timed.agg(F.timestamp_seconds(F.percentile(F.col("ts").cast("double"), 0.5))).first()[0]
+    write_in_time_order(spark, timed.where(F.col("ts") < middle), folder, 2)
+    jobs.start_alert_outbursts(read_stream(spark, timed, folder), target, checkpoint, "12 hours", "1 minute").awaitTermination()
+    write_in_time_order(spark, timed.where(F.col("ts") >= middle), folder, 2)
+    closing_row(spark, timed, folder, container="end", line="ERROR end")
+    jobs.start_alert_outbursts(read_stream(spark, timed, folder), target, checkpoint, "12 hours", "1 minute").awaitTermination()
+    assert rows(spark.read.parquet(target).where("container != 'end'")) == rows(jobs.alert_outbursts(timed, "12 hours"))
+
+
+def test_batch_killed_between_merge_and_ledger_is_merged_again_without_harm(spark, tmp_path):
+    deltas = view(spark, SF, "deltas").withColumn("record_id", F.when(F.col("record_id") % 7 != 0, F.col("record_id")))
+    wanted = rows(upsert_latest(None, deltas, "add_dte", "row_id"))
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
+    merged = []
+
+    def dying(batch):
+        jobs.merge_into_buckets(batch, target, "add_dte", "row_id", 4)
+        merged.append(1)
+        if len(merged) == 1:
+            raise RuntimeError("killed")
+
+    run = jobs.once(checkpoint, dying)
+    for _ in range(3):
+        try:
+            run(deltas, 0)
+        except RuntimeError:
+            pass
+    assert len(merged) == 2  # the third call finds the batch in the ledger
+    assert rows(spark.read.parquet(target).drop(jobs.BUCKET)) == wanted
