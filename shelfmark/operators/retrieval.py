@@ -6,8 +6,8 @@ no white space, so each occurrence lies inside one word of the field:
 1. The different words of the catalogue are indexed by their three-letter grams. Each different keyword is looked up
    by its rarest gram only, and ``contains`` verifies the words that come back.
 2. Matched words lead to the records by the postings (word, record, field); a keyword counts once per field.
-3. Records meet questions by keyword. Both sides are salted by record, so a keyword of a third of all records is
-   dealt out. The points add up per question and record, and a ranked window keeps the best n.
+3. Records meet the lists of questions that have the keyword. Dealt out by record, the points add up per question and
+   record without another shuffle, and a ranked window keeps the best n of each task before the last one.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from shelfmark.operators.merge import lookup_join
 from shelfmark.session import cut_lineage
 
 GRAM = 3
-SALTS = 16
+LIST = 10_000  # questions in one list of a keyword, about
 
 
 def _words(text: Column) -> Column:
@@ -80,9 +80,14 @@ def retrieve(
     bit = F.element_at(F.array(*[F.lit(1 << i) for i in range(len(weights))]), F.col("field") + 1)
     held = lookup_join(postings, matches, ["word"]).groupBy("keyword", "record").agg(F.bit_or(bit).alias("fields"))
     points = reduce(lambda a, b: a + b, [F.bit_get("fields", F.lit(i)).cast("long") * w for i, w in enumerate(weights.values())])
-    held = held.select("keyword", "record", points.alias("points"), F.pmod(F.xxhash64("record"), F.lit(SALTS)).alias("salt"))
-    salted = asked.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-    scores = held.join(salted, ["keyword", "salt"]).groupBy("question", "record").agg(F.sum(F.col("points") * F.col("times")).alias("score"))
+    held = held.select("keyword", "record", points.alias("points"))
+    # a keyword's questions travel as lists, which come apart only where all rows of a record are; the lists of a keyword
+    # that very many questions have are cut into parts
+    part = F.pmod(F.xxhash64("question"), F.lit(1 + questions.count() // LIST)).alias("part")
+    lists = asked.groupBy("keyword", part).agg(F.collect_list(F.struct("question", "times")).alias("by"))
+    met = lookup_join(held, lists.drop("part"), ["keyword"]).select("record", "points", "by").repartition("record")
+    scores = met.select("record", "points", F.inline("by")).groupBy("question", "record")
+    scores = scores.agg(F.sum(F.col("points") * F.col("times")).alias("score"))
     best = Window.partitionBy("question").orderBy(F.desc("score"), F.asc("record"))
     ranked = scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
     return ranked.select(F.col("question").alias(question_id), F.col("record").alias(key), "score", "rank")
