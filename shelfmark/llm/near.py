@@ -41,9 +41,12 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 def banding(similarity: float, recall: float, most: int) -> tuple[int, int]:
     """Bands and rows per band: the longest bands that reach ``recall`` at ``similarity``.
 
-    A pair of that similarity shares a band with probability 1 - (1 - s^rows)^bands.
+    A pair of that similarity shares a band with probability 1 - (1 - s^rows)^bands. If ``most`` hashes
+    cannot reach the recall, that is an error, which names the recall they reach.
     """
-    best = (1, 1)
+    if similarity < 1 and 1 - (1 - similarity) ** most < recall:
+        raise ValueError(f"{most} hashes find {1 - (1 - similarity) ** most:.3f} of the pairs at {similarity}, not {recall}")
+    best = (most, 1)
     for rows in range(1, most + 1):
         hit = similarity**rows
         bands = 1 if hit >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - hit))
@@ -106,7 +109,7 @@ def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 found.append(band_hashes(grams, bands, rows) if len(grams) else None)
             yield pd.DataFrame({"set_key": keys, "bands": found})
 
-    made = docs.select(row_key().alias("row_key"), F.col("doc_id").cast("long"), sign("text").alias("_made"))
+    made = docs.select(row_key().alias("row_key"), "doc_id", sign("text").alias("_made"))
     return made.select("row_key", "doc_id", "_made.set_key", "_made.bands")
 
 
@@ -274,13 +277,20 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     odd = F.when(F.col("class_id").isNull(), F.col("row_key")).alias("_odd")
     worded = rows.where("has_words").select("class_id", "doc_id", "row_key", odd)
     # Spark keeps one row per class and task before it shuffles
-    first = worded.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("row_key")
+    first = worded.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("row_key").distinct()
+    again = rows.where("has_words").groupBy("row_key").agg(F.count("*").alias("_n")).where("_n > 1").select("row_key")
+    dropped = lookup_join(rows.where("has_words").select("row_key").distinct(), first, ["row_key"], "left_anti")
     key, number = fresh("_row_key", docs), fresh("_number", docs)
     keys = docs.withColumn(key, row_key())
-    kept = keys.join(first.distinct().withColumnRenamed("row_key", key), key)
-    # rows alike in id and text lie in one partition after the join; the first of them stays
-    alike = Window.partitionBy(key).orderBy(F.lit(1))
-    kept = kept.withColumn(number, F.row_number().over(alike)).where(F.col(number) == 1).select(*docs.columns)
+    # few rows leave, so those that stay need no shuffle
+    gone = cut(dropped.union(again).distinct().withColumnRenamed("row_key", key))
+    kept = keys.join(small(gone, 80), key, "left_anti")
+    # of rows alike in id and text the first stays
+    alike = cut(again.join(first, "row_key", "left_semi").withColumnRenamed("row_key", key))
+    same = Window.partitionBy(key).orderBy(F.lit(1))
+    one = keys.join(small(alike, 80), key, "left_semi").withColumn(number, F.row_number().over(same)).where(F.col(number) == 1)
+    kept = kept.select(*docs.columns).unionByName(one.select(*docs.columns))
     # the join looks for words in lower case: a text of capitals only has some
     found = F.regexp_instr(F.lower("text"), F.lit(TEXT_WORD))
-    return kept.unionByName(docs.where(F.coalesce(found, F.lit(0)) == 0))
+    wordless = F.coalesce(found, F.lit(0)) == 0
+    return kept.where(~wordless).unionByName(docs.where(wordless))

@@ -99,23 +99,37 @@ def mentions(rows: DataFrame, context: int) -> DataFrame:
 
     spans = [named(k) for k in KINDS]
     found = rows.select("row_key", F.md5(F.col("text").cast("binary")).alias("text_key"), "text", F.inline(F.concat(*spans)))
+    # a stretch that holds the words, unless they are very long: then all of the text on that side
     reach = context * 24
     begin = F.greatest(F.col("start") - reach, F.lit(0))
-    before = F.substring(F.col("text"), begin + 1, F.col("start") - begin)
-    after = F.substring(F.col("text"), F.col("end") + 1, F.lit(reach))
+    last = F.length("text") - F.col("end")
+    left = F.substring(F.col("text"), begin + 1, F.col("start") - begin)
+    right = F.substring(F.col("text"), F.col("end") + 1, F.lit(reach))
+    before = F.when((begin == 0) | (n_words(left) > context), left).otherwise(F.substring(F.col("text"), F.lit(1), F.col("start")))
+    after = F.when((last <= reach) | (n_words(right) > context), right).otherwise(F.substring(F.col("text"), F.col("end") + 1, last))
     return found.select("row_key", "text_key", "entity", before.alias("before"), after.alias("after"))
 
 
+def n_words(text: Column) -> Column:
+    """Words of a stretch without personal data; one that the stretch cuts counts, so ask for one more."""
+    return F.regexp_count(without_personal_data(text), F.lit(TEXT_WORD))
+
+
+def without_personal_data(text: Column) -> Column:
+    for pattern in (EMAIL, IP, CARD, PHONE):
+        text = F.regexp_replace(text, pattern, " ")
+    return text
+
+
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TEXT_WORD), 0)
 
 
 def near_terms(found: DataFrame, context: int) -> DataFrame:
     """Terms within ``context`` words of a mention, other personal data left out: one row per text and entity."""
+
     def clean(part: Column) -> Column:
-        for pattern in (EMAIL, IP, CARD, PHONE):
-            part = F.regexp_replace(part, pattern, " ")
-        return words_of(part)
+        return words_of(without_personal_data(part))
 
     left = F.slice(F.reverse(clean(F.col("before"))), 1, context)
     both = F.array_distinct(F.concat(left, F.slice(clean(F.col("after")), 1, context)))
@@ -234,7 +248,8 @@ def sanitise(
 
 
 def digest(rows: DataFrame) -> DataFrame:
-    """The contract's columns from the spans of ``sanitise``."""
-    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS + TERM_KINDS]
-    base = F.sha2(span_list(KINDS).cast("binary"), 256).alias("base_sha256")
-    return rows.select("doc_id", *counts, base, span_list(KINDS + TERM_KINDS).alias("spans"))
+    """The contract's columns from the spans of ``sanitise``, then ``n_generalised``, ``n_removed`` and ``n_spans`` (all kinds)."""
+    base, terms = ([F.size(k).cast("long").alias(f"n_{k}") for k in kinds] for kinds in (KINDS, TERM_KINDS))
+    total = F.size(F.concat(*KINDS, *TERM_KINDS)).cast("long").alias("n_spans")
+    sha = F.sha2(span_list(KINDS).cast("binary"), 256).alias("base_sha256")
+    return rows.select("doc_id", *base, sha, span_list(KINDS + TERM_KINDS).alias("spans"), *terms, total)

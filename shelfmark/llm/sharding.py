@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import numbered
+from shelfmark.llm.common import fresh, numbered
 from shelfmark.llm.permute import permuted
 
 
@@ -26,9 +26,10 @@ def shard_rows(df: DataFrame, order: Sequence[Column], shards: int, key: int = 0
     rows = numbered(df.drop("row", "shard", "slot"), order, "row")
     place = permuted(F.col("row"), rows.count(), key)
     columns = [c for c in rows.columns if c != "row"]
-    placed = rows.select(*columns, "row", place.alias("_place"))
+    spot = fresh("_place", rows)
+    placed = rows.select(*columns, "row", place.alias(spot))
     return placed.select(
-        *columns, "row", (F.col("_place") % shards).cast("int").alias("shard"), F.floor(F.col("_place") / shards).alias("slot")
+        *columns, "row", (F.col(spot) % shards).cast("int").alias("shard"), F.floor(F.col(spot) / shards).alias("slot")
     )
 
 

@@ -50,23 +50,32 @@ class Vocabulary:
         with open(path, "rb") as f:
             return Vocabulary(f.read(), end)
 
+    def numbers(self) -> dict[bytes, int]:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, self.ranks.splitlines())}
+
+    def kind(self) -> str:
+        """The stored form of an id: little-endian, 16 bits if all fit, else 32."""
+        return "<u2" if max(self.end, *self.numbers().values()) < 1 << 16 else "<u4"
+
     def encoding(self) -> tiktoken.Encoding:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, self.ranks.splitlines())}
+        ranks = self.numbers()
         return tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_bytes(text: str, encode) -> bytes:
-    """Little-endian 16-bit token ids of a text."""
+def token_bytes(text: str, encode, kind: str = "<u2") -> bytes:
+    """Little-endian token ids of a text."""
     bounds = [0, *(m.end() for m in _RUN.finditer(text)), len(text)]
     parts = [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)] if len(bounds) > 2 else [text]
-    return b"".join(encode(p).astype("<u2").tobytes() for p in parts)
+    return b"".join(encode(p).astype(kind).tobytes() for p in parts)
 
 
 def packed(docs: DataFrame, vocabulary: Vocabulary, length: int) -> DataFrame:
     """Sequences of ``length`` token ids: task, place in the task, ids, real tokens, documents inside."""
     schema = "part int, place long, n_tokens int, doc_ids array<long>, ids binary"
-    end = np.array([vocabulary.end], "<u2").tobytes()
-    width = 2 * length
+    kind = vocabulary.kind()
+    end = np.array([vocabulary.end], kind).tobytes()
+    size = len(end)
+    width = size * length
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocabulary.encoding().encode_to_numpy
@@ -75,7 +84,7 @@ def packed(docs: DataFrame, vocabulary: Vocabulary, length: int) -> DataFrame:
             out: list[tuple] = []
             columns = [batch.column(k).to_pylist() for k in range(3)]
             for part, doc_id, text in zip(*columns, strict=True):
-                held += token_bytes(text or "", encode) + end
+                held += token_bytes(text or "", encode, kind) + end
                 inside.append(doc_id)
                 if len(held) >= width:
                     full = len(held) // width
@@ -86,10 +95,10 @@ def packed(docs: DataFrame, vocabulary: Vocabulary, length: int) -> DataFrame:
                     inside = [doc_id] if held else []
             yield _sequences(part, out)
         if held:
-            fill = end * ((width - len(held)) // 2)
-            yield _sequences(part, [(place, len(held) // 2, inside, held + fill)])
+            fill = end * ((width - len(held)) // size)
+            yield _sequences(part, [(place, len(held) // size, inside, held + fill)])
 
-    rows = docs.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("long"), "text")
+    rows = docs.select(F.spark_partition_id().alias("part"), F.col("doc_id").try_cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(pack, schema)
 
 
@@ -127,11 +136,11 @@ def write_shards(
 ) -> DataFrame:
     """Write the shards under ``path`` and return one row per sequence.
 
-    Files: ``shard=<k>/part-*``; a record is ``length`` little-endian 16-bit ids and one line end, so
-    the stride is ``2 * length + 1`` bytes. Rows: ``slot``, ``shard``, ``byte_offset``, ``sequence``,
+    Files: ``shard=<k>/part-*``; a record is ``length`` little-endian ids and one line end. Ids have 16 bits, or 32 if
+    the vocabulary has more than 65,536, so the stride is ``2 * length + 1`` or ``4 * length + 1`` bytes. Rows: ``slot``, ``shard``, ``byte_offset``, ``sequence``,
     ``n_tokens``, ``doc_ids`` (documents that have tokens in it, in order) and ``crc32`` of the ids.
 
-    Null and empty texts give an end mark alone. Repeated rows give their tokens each time. Other
+    Null and empty texts give an end mark alone. An id that is not a number is null in ``doc_ids``. Repeated rows give their tokens each time. Other
     columns are not read. An empty table gives no sequences and no files.
     """
     sequences = stored(packed(docs, vocabulary, length), "sequences")
@@ -149,7 +158,7 @@ def write_shards(
     ordered.select("shard", restored("ids").cast("string").alias("value")).write.partitionBy("shard").option(
         "lineSep", chr(END_BYTE)
     ).text(path)
-    stride = 2 * length + 1
+    stride = np.dtype(vocabulary.kind()).itemsize * length + 1
     return rows.select(
         "slot",
         "shard",
@@ -167,8 +176,8 @@ def materialise(docs: DataFrame, vocabulary: Vocabulary, **options) -> DataFrame
     return write_shards(docs, vocabulary, path, **options).withColumn("path", F.lit(path))
 
 
-def read_record(data: bytes, length: int) -> np.ndarray:
+def read_record(data: bytes, length: int, kind: str = "<u2") -> np.ndarray:
     """Ids of the records in the bytes of a shard, one row per record."""
-    stride = 2 * length + 1
-    records = np.frombuffer(data, np.uint8).reshape(-1, stride)
-    return np.ascontiguousarray(records[:, : 2 * length]).view("<u2")
+    width = np.dtype(kind).itemsize * length
+    records = np.frombuffer(data, np.uint8).reshape(-1, width + 1)
+    return np.ascontiguousarray(records[:, :width]).view(kind)

@@ -211,6 +211,26 @@ def test_bands_reach_the_recall():
     bands, rows = near.banding(0.8, 0.995, 192)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.995 and bands * rows <= 192
     assert near.banding(1.0, 0.9, 4) == (1, 4)
+    with pytest.raises(ValueError, match="192 hashes"):
+        near.banding(0.02, 0.995, 192)
+
+
+def test_one_per_class_of_repeated_rows_and_string_ids(spark):
+    draw = random.Random(9)
+    texts = [" ".join(f"w{draw.randrange(50)}" for _ in range(40)) for _ in range(30)]
+    data = [(f"d{i}", t) for i, t in enumerate(texts)] + [("d3", texts[3])] * 3 + [("e3", texts[3]), (None, texts[4]), ("z", "!"), ("z", "!"), (None, texts[5].upper())]
+    kept = near.one_per_class(spark.createDataFrame(data, "doc_id string, text string"))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(f"d{i}", t) for i, t in enumerate(texts)] + [("z", "!")] * 2)
+
+
+def test_terms_before_and_after_very_long_words(spark):
+    long = "x" * 290
+    texts = [f"Zorblatt {long} mail q{i}@corp.example {long} end {long} Quuxly" for i in (1, 1, 1)] + [f"plain text number {i}" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.sanitise(docs).orderBy("doc_id").collect()
+    assert {s.value for s in rows[0].removed} >= {"Zorblatt", "Quuxly", "mail", "end"}
+    assert pii.digest(pii.sanitise(docs)).columns == [
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_generalised", "n_removed", "n_spans"]
 
 
 def test_components_of_a_chain_and_a_star(spark):

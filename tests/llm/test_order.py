@@ -152,3 +152,14 @@ def test_long_runs_of_white_space_are_encoded_in_parts(vocabulary):
     text = "a" + " " * 50_000 + "b"
     ids = np.frombuffer(tokens.token_bytes(text, encoding.encode_to_numpy), "<u2")
     assert encoding.decode(ids.tolist()) == text
+
+
+def test_ids_beyond_sixteen_bits(spark, tmp_path):
+    wide = tokens.Vocabulary.read(f"{TOKENIZERS}/{RANKS}", 70_000)
+    docs = spark.createDataFrame([("a", "one two three"), ("7", None), (None, "four")], "doc_id string, text string")
+    rows = tokens.write_shards(docs, wide, str(tmp_path / "out"), length=4).collect()
+    assert wide.kind() == "<u4" and {r.byte_offset for r in rows} == {17 * i for i in range(len(rows))}
+    data = b"".join(f.read_bytes() for f in (tmp_path / "out").rglob("part-*"))
+    ids = tokens.read_record(data, 4, "<u4")
+    assert (ids == 70_000).sum() >= 3 and ids.max() == 70_000
+    assert {i for r in rows for i in r.doc_ids} == {None, 7}

@@ -36,4 +36,4 @@ def test_run_applies_all_stages(spark):
 def test_every_query_is_registered():
     registered = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered) and set(ORACLES) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
