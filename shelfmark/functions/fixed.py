@@ -82,14 +82,6 @@ EXPLORER_COLUMNS = [
     "alma_identifier", "storage_location",
 ]
 
-# Columns of a search result row.
-RESULT_COLUMNS = [
-    "title", "field_identifier", "field_collection_type", "field_collection_note", "field_credit_line",
-    "field_extent", "field_physical_form", "field_genre", "field_description_long", "location",
-    "storage_location", "source_system", "has_image", "image_count", "field_linked_agent", "field_subject",
-    "field_place_published", "field_edtf_date_created",
-]
-
 # Columns of the gap report, in order.
 GAP_COLUMNS = [
     "id", "field_resource_type", "field_model", "parent_id", "field_weight", "field_member_of", "file",
@@ -210,5 +202,3 @@ EXPORT_COLUMNS = [
 
 # Media file extensions.
 IMAGE_EXTENSIONS = (".tif", ".tiff", ".jpg", ".jpeg", ".png")
-AUDIO_EXTENSIONS = (".mp3", ".wav")
-# Identifiers longer than this have no media file.

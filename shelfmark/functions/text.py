@@ -94,11 +94,6 @@ def title_cut(c: Column, marker: str = " __ __ __") -> Column:
     return F.substring_index(c, marker, 1)
 
 
-def limit_length(c: Column, limit: int) -> Column:
-    """At most ``limit`` characters, for exports to systems with a field limit."""
-    return F.substring(c, 1, limit)
-
-
 def place_delimiter(c: Column) -> Column:
     return F.replace(c, F.lit("__"), F.lit("|"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.fixed import GAP_COLUMNS
-from shelfmark.operators import compare, media, merge, quality
+from shelfmark.operators import compare, media, merge, metrics, quality
 from shelfmark.operators.shape import clean_strings, select_existing
 from shelfmark.operators.unify import SourceLabels
 from shelfmark.plans.daily import dashboard, snapshot_metrics
@@ -23,6 +23,7 @@ from shelfmark.sources.files import (
     is_full_extract,
     path_exists,
     read_deltas,
+    read_request_log,
     remove_paths,
     replace_table,
     write_csv,
@@ -54,7 +55,8 @@ def merge_deltas(
 ) -> None:
     """Upsert the change batches of a folder into the museum's silver table.
 
-    ``remove`` deletes the batches once the table is published. Merging one twice does no harm.
+    ``remove`` deletes the batches once the table is published. Merging one twice does no harm: rows without a key
+    are told apart by content.
     """
     batches = delta_batches(spark, folder)
     if not batches:
@@ -68,30 +70,54 @@ def merge_deltas(
         remove_paths(spark, batches)
 
 
-def check_museum(spark: SparkSession, layout: Layout) -> None:
+def check_museum(spark: SparkSession, layout: Layout, counts: Counts | None = None) -> None:
     """Add the quality columns to the museum's silver table and write the quarantine table."""
     path = layout.path("museum_silver")
     silver = spark.read.parquet(path).drop("qa_errors", "qa_pass")
-    replace_table(quality.apply_rules(silver, quality.basic_rules(silver)), path)
+    write_counted(quality.apply_rules(silver, quality.basic_rules(silver)), layout, "museum_silver", counts)
     _, failed = quality.split_quarantine(spark.read.parquet(path))
-    replace_table(failed, layout.path("museum_qa_failures"))
+    write_counted(failed, layout, "museum_qa_failures", counts)
+
+
+Counts = dict[str, dict[str, int]]
+
+
+def write_counted(df: DataFrame, layout: Layout, name: str, counts: Counts | None) -> None:
+    """Write a dataset; its rows are counted on the way into ``counts``, not read again."""
+    if counts is None:
+        replace_table(df, layout.path(name))
+        return
+    conditions = {"with_identifier": F.col("field_identifier").isNotNull()} if "field_identifier" in df.columns else {}
+    if "qa_pass" in df.columns:
+        conditions["failed"] = F.lower(F.col("qa_pass").cast("string")) == "false"
+    observed, observation = quality.observe_counts(df, name, **conditions)
+    replace_table(observed, layout.path(name))
+    counts[name] = dict(observation.get)
+
+
+def write_traffic(spark: SparkSession, layout: Layout, traffic: DataFrame | None, request_logs: str | None, counts: Counts | None) -> None:
+    """Daily web-traffic facts from raw rows, and the request log from its JSON lines."""
+    if traffic is not None:
+        write_counted(metrics.traffic_daily(traffic), layout, "web_traffic", counts)
+    if request_logs is not None:
+        write_counted(read_request_log(spark, request_logs), layout, "request_log", counts)
 
 
 def build_gold(
     spark: SparkSession, layout: Layout, labels: SourceLabels = SourceLabels(), excluded: Sequence[str] = (),
-    images: DataFrame | None = None, audio: DataFrame | None = None,
+    images: DataFrame | None = None, audio: DataFrame | None = None, counts: Counts | None = None,
 ) -> None:
     """Unified and normalised catalogue from the silver tables and the media listings."""
     museum = spark.read.parquet(layout.path("museum_silver"))
     library = spark.read.parquet(layout.path("library_silver"))
-    replace_table(unify_catalog(museum, library, "record_id", labels, excluded, True), layout.path("gold_unified_catalog"))
+    write_counted(unify_catalog(museum, library, "record_id", labels, excluded, True), layout, "gold_unified_catalog", counts)
     gold = normalize_catalog(spark.read.parquet(layout.path("gold_unified_catalog")))
     for kind, listing, extensions in (("image", images, (".jpg",)), ("audio", audio, (".mp3", ".wav"))):
         if listing is None:
             gold = gold.withColumns({f"{kind}_count": F.lit(0), f"has_{kind}": F.lit(False)})
         else:
             gold = media.media_counts(gold, listing, "id", kind, extensions)
-    replace_table(gold, layout.path("gold_normalized_catalog"))
+    write_counted(gold, layout, "gold_normalized_catalog", counts)
 
 
 def build_reports(spark: SparkSession, layout: Layout) -> None:
@@ -125,14 +151,11 @@ def build_exports(spark: SparkSession, layout: Layout, day: str, folders: DataFr
         write_csv(media.audit_summary(written), f"{reports}/image_audit_summary_{stamp}.csv")
 
 
-def record_metrics(spark: SparkSession, layout: Layout, day: str) -> None:
-    """Row counts of the run's tables, added to the metrics history."""
-    rows = None
-    for name in ("museum_silver", "library_silver", "museum_qa_failures", "gold_unified_catalog", "gold_normalized_catalog"):
-        table = spark.read.parquet(layout.path(name))
-        counts = quality.run_metrics(table, name, with_identifier=F.col("field_identifier").isNotNull())
-        rows = counts if rows is None else rows.unionByName(counts)
-    append_snapshot(rows, f"{layout.root}/gold/snapshots/history_run_metrics", day)
+def record_metrics(spark: SparkSession, layout: Layout, day: str, counts: Counts) -> None:
+    """The counts that the run's writes have taken, added to the metrics history."""
+    rows = [(name, metric, int(n)) for name, found in counts.items() for metric, n in found.items()]
+    table = spark.createDataFrame(rows, "run_id string, metric string, value bigint")
+    append_snapshot(table, f"{layout.root}/gold/snapshots/history_run_metrics", day)
 
 
 def run_layers(
@@ -140,15 +163,18 @@ def run_layers(
     items: DataFrame | None = None, images: DataFrame | None = None, delta_row: str = "record_id",
     roles: Sequence[tuple[str, str]] = (), labels: SourceLabels = SourceLabels(), excluded: Sequence[str] = (),
     audio: DataFrame | None = None, folders: DataFrame | None = None, remove_batches: bool = False,
+    traffic: DataFrame | None = None, request_logs: str | None = None,
 ) -> list[str]:
     """Everything in order; quality always before the union. Returns the published views."""
+    counts: Counts = {}
     merge_deltas(spark, layout, museum_deltas, delta_row, roles, remove=remove_batches)
-    replace_table(library_silver(library_raw, items), layout.path("library_silver"))
-    check_museum(spark, layout)
-    build_gold(spark, layout, labels, excluded, images, audio)
+    write_counted(library_silver(library_raw, items), layout, "library_silver", counts)
+    check_museum(spark, layout, counts)
+    build_gold(spark, layout, labels, excluded, images, audio, counts)
+    write_traffic(spark, layout, traffic, request_logs, counts)
     build_reports(spark, layout)
     build_exports(spark, layout, day, folders, images)
-    record_metrics(spark, layout, day)
+    record_metrics(spark, layout, day, counts)
     tables = {name: spark.read.parquet(layout.path(name)) for name in (
         "gold_normalized_catalog", "gold_unified_catalog", "museum_silver", "library_silver", "archive_raw")}
     snapshot_metrics(dashboard(*tables.values()), layout, day)

@@ -92,8 +92,18 @@ def test_whole_batch_run(spark, tmp_path):
     raw_library = view(spark, SF, "flat")
     view(spark, SF, "web").write.parquet(layout.path("archive_raw"))
     images = view(spark, SF, "media")
+    (tmp_path / "requests.jsonl").write_text("\n".join(json.dumps({"endpoint": f"/{i}", "status_code": 200}) for i in range(5)))
+    traffic = {"traffic": view(spark, SF, "traffic"), "request_logs": str(tmp_path / "requests.jsonl")}
     for _ in range(2):  # a second run of the day changes nothing
-        views = layers.run_layers(spark, layout, deltas, raw_library, "2024-01-01", images=images, roles=[("designer", "dsr")])
+        views = layers.run_layers(spark, layout, deltas, raw_library, "2024-01-01", images=images, roles=[("designer", "dsr")], **traffic)
+    assert {"web_traffic", "request_log", "history_run_metrics"} <= set(views)
+    assert spark.table("request_log").count() == 5 and spark.table("web_traffic").count() > 0
+    counted = {(r.run_id, r.metric): r.value for r in spark.table("history_run_metrics").collect()}
+    for name in ("museum_silver", "library_silver", "museum_qa_failures", "gold_unified_catalog", "gold_normalized_catalog", "web_traffic"):
+        table = spark.table(name)
+        assert counted[name, "rows"] == table.count()
+        if "field_identifier" in table.columns:
+            assert counted[name, "with_identifier"] == table.where("field_identifier IS NOT NULL").count()
     assert {"gold_normalized_catalog", "history_genre_distribution", "missing_objects", "museum_qa_failures"} <= set(views)
     gold = spark.table("gold_normalized_catalog")
     n = view(spark, SF, "mus").count() + raw_library.count()
