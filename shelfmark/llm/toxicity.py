@@ -21,6 +21,10 @@ from shelfmark.llm.common import cut, held_out
 SIZES = (4, 5, 6)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 TABLE_BITS = 22
+# Buckets of one byte for the first count of n-grams: 64 MB.
+BUCKET_BITS = 26
+# Texts whose features are summed at a time.
+BLOCK_TEXTS = 256
 THRESHOLD = 0.3
 CHARACTERS = 1 << 18
 
@@ -85,8 +89,21 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -50, 50)))
 
 
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes * MULTIPLIER) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
 def _counts(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray]:
-    """N-grams in at least ``least`` texts, merged text by text in bounded steps."""
+    """N-grams in at least ``least`` texts, merged text by text in bounded steps.
+
+    Most n-grams stand in few texts. A first pass counts texts per bucket of hashes, up to 255; an n-gram whose
+    bucket has fewer than ``least`` cannot reach it, so the second pass holds only the others, and counts them.
+    """
+    table = np.zeros(1 << BUCKET_BITS, np.uint8)
+    for t in texts:
+        at = _buckets(_grams(t))
+        seen = table[at]
+        table[at] = seen + (seen < 255)
     grams, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     pending: list[np.ndarray] = []
     size = 0
@@ -98,7 +115,8 @@ def _counts(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray]:
         return out, np.bincount(back, weight, len(out)).astype(np.int64)
 
     for t in texts:
-        pending.append(_grams(t))
+        own = _grams(t)
+        pending.append(own[table[_buckets(own)] >= min(least, 255)])
         size += len(pending[-1])
         if size > 2_000_000:
             grams, counts = merge()
@@ -120,7 +138,7 @@ def fit(texts: list[str], toxic: list[int], features: int = 20_000, least: int =
         own = _grams(t)
         at = np.minimum(np.searchsorted(grams, own), max(len(grams) - 1, 0))
         at = at[grams[at] == own] if len(grams) else at[:0]
-        rows.append(at)
+        rows.append(at.astype(np.int32))
         if not k:
             in_other[at] += 1
     p, q = in_toxic + alpha, in_other + alpha
@@ -128,24 +146,37 @@ def fit(texts: list[str], toxic: list[int], features: int = 20_000, least: int =
     # evidence: the ratio against its standard error
     evidence = np.abs(ratio) / np.sqrt(1 / p + 1 / q)
     chosen = np.sort(np.argsort(-evidence, kind="stable")[:features])
-    renumber = np.full(len(grams), -1)
-    renumber[chosen] = np.arange(len(chosen))
-    rows = [r[r >= 0] for r in (renumber[at] for at in rows)]
+    renumber = np.full(len(grams), -1, np.int32)
+    renumber[chosen] = np.arange(len(chosen), dtype=np.int32)
+    for i, at in enumerate(rows):
+        own = renumber[at]
+        rows[i] = own[own >= 0]
     weights, bias = _logistic(rows, y, ratio[chosen])
     return Model(grams[chosen], weights * ratio[chosen], bias)
 
 
 def _logistic(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Logistic regression on features ``ratio`` where present; L2 penalty; Adam steps."""
-    text = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    gram = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    """Logistic regression on features ``ratio`` where present; L2 penalty; Adam steps.
+
+    Each step goes over the texts in blocks, so what it holds beside the rows does not grow with their number.
+    """
+    blocks = []
+    for lo in range(0, len(rows), BLOCK_TEXTS):
+        part = rows[lo : lo + BLOCK_TEXTS]
+        blocks.append((lo, lo + len(part), np.array([len(r) for r in part]), np.concatenate(part)))
+    rows.clear()
     balance = np.where(y > 0, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
     w, bias = np.zeros(len(ratio) + 1), 0.0
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
-        z = bias + np.bincount(text, (w[:-1] * ratio)[gram], len(y))
-        error = balance * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / len(y)
-        slope = np.append(np.bincount(gram, error[text], len(ratio)) * ratio + 1e-5 * w[:-1], error.sum())
+        slope = np.append(1e-5 * w[:-1], 0.0)
+        value = w[:-1] * ratio
+        for lo, hi, sizes, gram in blocks:
+            text = np.repeat(np.arange(hi - lo), sizes)
+            z = bias + np.bincount(text, value[gram], hi - lo)
+            error = balance[lo:hi] * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y[lo:hi]) / len(y)
+            slope[:-1] += np.bincount(gram, error[text], len(ratio)) * ratio
+            slope[-1] += error.sum()
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         w -= 0.02 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
@@ -173,8 +204,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataF
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, **options) -> Model:
     """Fit in one task on ``training_sample``; only the model comes back.
 
-    ``per_class`` bounds the sample: with its default and texts of a few kilobytes the task holds
-    some ten megabytes. Texts of the sample are used whole.
+    ``per_class`` bounds the sample, whose texts are used whole. Beside them the task holds a table of 64 MB and the
+    n-grams that may stand in ``least`` toxic texts or more.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
