@@ -219,6 +219,34 @@ def _(spark, sf):
     return tagged.tagged_pivot(view(spark, sf, "tagged"), spec, single=[("500", "x")])
 
 
+# A specification of 250 tags: two joined subfields each, a single one of every second, the whole field of every fifth.
+_SPEC_TAGS = [str(100 + i) for i in range(250)]
+_WIDE_SPEC = [(tag, ["a", "x"], int(tag) % 5 == 0) for tag in _SPEC_TAGS]
+_WIDE_SINGLE = [(tag, "b") for tag in _SPEC_TAGS if int(tag) % 2 == 0]
+_WIDE_NAMES = [f"new_{tag}_{code}" for tag in _SPEC_TAGS for code in "ax"] + [f"new_{tag}_b" for tag, _ in _WIDE_SINGLE]
+_WIDE_NAMES += [f"new_{tag}_full" for tag, _, full in _WIDE_SPEC if full]
+_WIDE_FIRST = _FIRST.replace("tagged", "fields")
+
+
+def _pick(name: str) -> str:
+    return f"coalesce(max(cell) FILTER (name = '{name}'), '')"
+
+
+@query("tagged_table", "fields", f"""
+SELECT rec_id, {' + '.join(f"({_pick(n)} <> '')::BIGINT" for n in _WIDE_NAMES)} AS n_filled, md5(concat_ws('/', {', '.join(map(_pick, _WIDE_NAMES))})) AS cells_md5
+FROM (WITH f AS ({_WIDE_FIRST})
+SELECT rec_id, concat('new_', tag, '_', code) AS name, string_agg(value, ' | ' ORDER BY occ) AS cell FROM f WHERE code <> 'b' GROUP BY ALL
+UNION ALL SELECT rec_id, concat('new_', tag, '_b'), value FROM f
+  JOIN (SELECT rec_id, tag, min(occ) AS occ FROM fields GROUP BY ALL) o USING (rec_id, tag, occ) WHERE code = 'b'
+UNION ALL SELECT rec_id, concat('new_', tag, '_full'), string_agg(t, ' | ' ORDER BY occ)
+  FROM (SELECT rec_id, tag, occ, string_agg(value, ' ' ORDER BY pos) AS t FROM fields GROUP BY ALL) GROUP BY rec_id, tag)
+GROUP BY rec_id""")
+def _(spark, sf):
+    wide = tagged.tagged_pivot(view(spark, sf, "fields"), _WIDE_SPEC, single=_WIDE_SINGLE)
+    filled = F.aggregate(F.array(*[(c(n) != "").cast("long") for n in _WIDE_NAMES]), F.lit(0).cast("long"), lambda x, y: x + y)
+    return wide.select("rec_id", filled.alias("n_filled"), F.md5(F.concat_ws("/", *_WIDE_NAMES).cast("binary")).alias("cells_md5"))
+
+
 @query("tagged_subject_join", "tagged", f"""
 SELECT rec_id, string_agg(h, ' | ' ORDER BY occ) AS raw_field_subject FROM (
   SELECT rec_id, occ, string_agg(value, ' -- ' ORDER BY code) AS h FROM ({_FIRST}) WHERE tag = '650' AND code IN ('a', 'x') GROUP BY ALL) GROUP BY rec_id""")

@@ -1 +1 @@
-"""Column expressions. Everything here is native Spark except ``similarity`` and ``nfkc``."""
+"""Column expressions. Everything here is native Spark: no Python runs in tasks."""

@@ -21,7 +21,7 @@ def normalize_identifier(c: Column, compatibility: bool = True) -> Column:
     """Lower case, brackets and quotes out, runs of separators to one dot.
 
     ``compatibility`` applies NFKC first (full-width digits and the like); switch it off where
-    the identifiers are known to be ASCII to keep the plan free of Python.
+    the identifiers are known to be ASCII.
     """
     return _dotted(F.lower(nfkc(c) if compatibility else c))
 

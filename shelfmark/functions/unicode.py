@@ -1,11 +1,10 @@
-"""Accent folding (native) and compatibility normalisation (Arrow, non-ASCII values only)."""
+"""Accent folding and compatibility normalisation, both in the JVM."""
 
 from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,13 +88,9 @@ def fold_accents(c: Column) -> Column:
 
 
 def nfkc(c: Column) -> Column:
-    """Compatibility composition. Spark has no such function, so an Arrow UDF does it; ASCII
-    values (which it never changes) are passed as null and cost next to nothing."""
+    """Compatibility composition by the Unicode library that Spark ships for its collations.
 
-    @F.pandas_udf("string")
-    def compose(values: pd.Series) -> pd.Series:
-        from unicodedata import normalize
-
-        return values.map(lambda v: normalize("NFKC", v), na_action="ignore")
-
-    return F.coalesce(compose(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+    ``try_reflect`` calls it in the JVM, for non-ASCII values only; ASCII is never changed.
+    """
+    compose = F.try_reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True))
+    return F.when(c.rlike(r"[^\x00-\x7F]"), compose).otherwise(c)

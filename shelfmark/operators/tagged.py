@@ -41,17 +41,31 @@ def _firsts(subfields: Column) -> Column:
     return F.filter(subfields, is_first)
 
 
+def _by_place(held: str) -> Column:
+    """Cells in the order of their places -> an array with each cell at its place, gaps filled with empty text."""
+    cells = F.col(held)
+
+    def with_gap(c: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(cells, i - 1)["place"], F.lit(-1))
+        return F.concat(F.array_repeat(F.lit(""), c["place"] - before - 1), F.array(c["cell"]))
+
+    return F.flatten(F.transform(cells, with_gap))
+
+
 def tagged_pivot(tagged: DataFrame, spec: Sequence[FieldSpec], single: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """One row per record, one column per (tag, code): the occurrences' first values joined with
     `` | ``; absent -> empty.
 
     ``whole field`` adds ``new_<tag>_full``: all text of each occurrence. ``single`` subfields are
     taken from the first occurrence of the field only. One shuffle by record: subfields meet in their
-    field, the field yields its cells, the cells meet by (record, column), then by record.
+    field, the field yields its cells, the cells meet by (record, column), then by record. A record's
+    cells become an array with a place for every column, so the work is linear in columns and cells,
+    whatever the length of the specification.
     """
     tags = sorted({tag for tag, _, _ in spec} | {tag for tag, _ in single})
     wanted = [column_name(tag, code) for tag, codes, _ in spec for code in codes]
     once = [column_name(tag, code) for tag, code in single]
+    first = list(range(len(wanted), len(wanted) + len(once)))
     whole = [tag for tag, _, full in spec if full]
 
     # rows of other tags only say that the record exists; all groupings below keep a record in one place
@@ -69,24 +83,29 @@ def tagged_pivot(tagged: DataFrame, spec: Sequence[FieldSpec], single: Sequence[
         return F.concat(F.lit("new_"), F.col("tag"), F.lit("_"), F.replace(s["code"], F.lit("."), F.lit("dot")))
 
     fields = fields.withColumn("firsts", _firsts(F.col("subfields")))
-    cells = F.filter(F.transform("firsts", lambda s: cell(named(s), s["value"])), lambda x: x["name"].isin(wanted))
+    cells = F.transform("firsts", lambda s: cell(named(s), s["value"]))
     text = F.array_join(F.transform("subfields", lambda s: s["value"]), " ")
     full = F.when(F.col("tag").isin(whole) & (text != ""), cell(F.concat(F.lit("new_"), "tag", F.lit("_full")), text))
 
-    def once_cell(tag: str, code: str) -> Column:
-        value = F.get(F.filter("firsts", lambda s: s["code"] == code), F.lit(0))["value"]
-        return F.when(F.col("tag") == tag, cell(F.lit(column_name(tag, code)), F.coalesce(value, F.lit(""))))
-
-    more = [full, *[once_cell(tag, code) for tag, code in single]]
-    cells = fields.select("rec_id", "occ", F.inline_outer(F.concat(cells, F.array_compact(F.array(*more)))))
+    cells = F.concat(cells, F.array_compact(F.array(full)))
+    if single:
+        # every occurrence has an empty cell for its single columns, so a first one without the subfield counts
+        names = {tag: [column_name(t, code) for t, code in single if t == tag] for tag, _ in single}
+        marks = F.array(*[F.struct(F.lit(tag).alias("tag"), F.lit(n).alias("_names")) for tag, n in names.items()])
+        fields = fields.join(F.broadcast(tagged.sparkSession.range(1).select(F.inline(marks))), "tag", "left")
+        empty = F.transform("_names", lambda n: cell(n, F.lit("")))
+        cells = F.when(F.col("_names").isNull(), cells).otherwise(F.concat(cells, empty))
+    cells = fields.select("rec_id", "occ", F.inline_outer(cells))
 
-    joined = F.when(F.col("name").isin(once), F.min_by("text", "occ")).otherwise(_joined(["occ"], "text", " | "))
-    cells = cells.groupBy("rec_id", "name").agg(joined.alias("cell"))
     columns = wanted + once + [f"new_{tag}_full" for tag in whole]
-    # a record's cells, at most one per column; ``pivot`` would test every column for every cell
-    table = F.map_from_entries(F.collect_list(F.when(F.col("name").isNotNull(), F.struct("name", "cell"))))
-    records = cells.groupBy("rec_id").agg(table.alias("cells"))
-    return records.select("rec_id", *[F.coalesce(F.try_element_at("cells", F.lit(c)), F.lit("")).alias(c) for c in columns])
+    # the columns by number: as many rows as the specification has fields; cells of no column keep their record
+    places = tagged.sparkSession.range(1).select(F.posexplode(F.lit(columns)).alias("place", "name"))
+    cells = cells.join(F.broadcast(places), "name", "left")
+    joined = F.when(F.col("place").isin(first), F.min_by("text", F.struct("occ", F.col("text") == ""))).otherwise(_joined(["occ"], "text", " | "))
+    cells = cells.groupBy("rec_id", "place").agg(joined.alias("cell"))
+    held = F.array_sort(F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "cell"))))
+    records = cells.groupBy("rec_id").agg(held.alias("held")).select("rec_id", _by_place("held").alias("cells"))
+    return records.select("rec_id", *[F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(columns)])
 
 
 def read_field_spec(table: DataFrame) -> tuple[list[FieldSpec], list[tuple[str, str]]]:

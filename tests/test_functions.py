@@ -1,3 +1,4 @@
+import random
 import re
 import unicodedata
 
@@ -33,6 +34,16 @@ def test_nfkc(spark):
     assert apply(spark, unicode.nfkc, values) == [v and unicodedata.normalize("NFKC", v) for v in values]
 
 
+def test_nfkc_of_every_assigned_character_and_of_sequences(spark):
+    points = [p for p in range(0x110000) if unicodedata.category(chr(p)) not in ("Cs", "Cn")]
+    lines = ["|".join(map(chr, points[i : i + 89])) for i in range(0, len(points), 89)]
+    draw = random.Random(3)
+    parts = [chr(p) for p in points if unicodedata.combining(chr(p)) or unicodedata.decomposition(chr(p))]
+    parts += [chr(p) for p in range(0x1100, 0x1200)] + list("aeiouAEIOU")
+    lines += ["".join(draw.choice(parts) for _ in range(draw.randrange(1, 8))) for _ in range(5000)]
+    assert apply(spark, unicode.nfkc, lines) == [unicodedata.normalize("NFKC", x) for x in lines]
+
+
 def expected_identifier(s):
     s = unicodedata.normalize("NFKC", s).lower()
     return re.sub(r"[.\s,-]+", ".", re.sub(r"[()\[\]'_]", " ", s)).strip(".")
@@ -107,3 +118,13 @@ def test_jaro_winkler_matches_the_oracle(spark):
     for (a, b), score in zip(pairs, found):
         wanted = duckdb.execute("SELECT jaro_winkler_similarity(?, ?)", [a, b]).fetchone()[0]
         assert score == (None if wanted is None else pytest.approx(wanted)), (a, b)
+
+
+def test_jaro_winkler_of_random_texts_matches_the_oracle(spark):
+    draw = random.Random(4)
+    texts = ["".join(draw.choice("abéc ü日") for _ in range(draw.randrange(15))) for _ in range(4000)]
+    pairs = list(zip(texts[::2], texts[1::2]))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    found = [r.s for r in df.select(similarity.jaro_winkler(F.col("a"), F.col("b")).alias("s")).collect()]
+    wanted = duckdb.execute("SELECT jaro_winkler_similarity(unnest(?), unnest(?))", [texts[::2], texts[1::2]]).fetchall()
+    assert found == [pytest.approx(w) for (w,) in wanted]

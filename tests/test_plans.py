@@ -33,12 +33,11 @@ def test_no_cross_joins_and_no_single_task_over_rows(spark, name):
 
 @pytest.mark.parametrize("name", [
     "clean_extent", "edtf_date", "agent_roles", "normalize_genre", "normalize_subject", "normalize_creator", "normalize_place",
-    "year_decade", "media_audit", "genre_distribution", "related_records", "tagged_pivot"])
+    "year_decade", "media_audit", "genre_distribution", "related_records", "tagged_pivot", "tagged_table", "normalize_identifier",
+    "credit_line", "gap_report", "comparison_left", "comparison_fuzzy"])
 def test_native_operators_stay_in_the_jvm(spark, name):
     text = plan(QUERIES[name](spark, SF))
-    assert "BatchEvalPython" not in text
-    if name != "genre_distribution":
-        assert "ArrowEvalPython" not in text
+    assert "EvalPython" not in text
 
 
 @pytest.mark.parametrize("name", ["upsert_latest", "catalog_view", "inventory_join", "related_records", "graph_expand"])
@@ -93,8 +92,9 @@ def test_hot_keys_are_split(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_tagged_pivot_shuffles_once(spark):
-    text = plan(QUERIES["tagged_pivot"](spark, SF))
+@pytest.mark.parametrize("name", ["tagged_pivot", "tagged_table"])
+def test_tagged_pivot_shuffles_once(spark, name):
+    text = plan(QUERIES[name](spark, SF))
     assert text.count("Exchange hashpartitioning") == 1
 
 
