@@ -228,23 +228,21 @@ _WIDE_NAMES += [f"new_{tag}_full" for tag, _, full in _WIDE_SPEC if full]
 _WIDE_FIRST = _FIRST.replace("tagged", "fields")
 
 
-def _pick(name: str) -> str:
-    return f"coalesce(max(cell) FILTER (name = '{name}'), '')"
-
-
 @query("tagged_table", "fields", f"""
-SELECT rec_id, {' + '.join(f"({_pick(n)} <> '')::BIGINT" for n in _WIDE_NAMES)} AS n_filled, md5(concat_ws('/', {', '.join(map(_pick, _WIDE_NAMES))})) AS cells_md5
-FROM (WITH f AS ({_WIDE_FIRST})
+SELECT rec_id, count(*) FILTER (cell <> '') AS n_filled, md5(string_agg(coalesce(cell, ''), '/' ORDER BY place)) AS cells_md5
+FROM (SELECT DISTINCT rec_id FROM fields) CROSS JOIN (SELECT unnest({_WIDE_NAMES}) AS name, unnest(range({len(_WIDE_NAMES)})) AS place)
+LEFT JOIN (WITH f AS ({_WIDE_FIRST})
 SELECT rec_id, concat('new_', tag, '_', code) AS name, string_agg(value, ' | ' ORDER BY occ) AS cell FROM f WHERE code <> 'b' GROUP BY ALL
 UNION ALL SELECT rec_id, concat('new_', tag, '_b'), value FROM f
   JOIN (SELECT rec_id, tag, min(occ) AS occ FROM fields GROUP BY ALL) o USING (rec_id, tag, occ) WHERE code = 'b'
 UNION ALL SELECT rec_id, concat('new_', tag, '_full'), string_agg(t, ' | ' ORDER BY occ)
-  FROM (SELECT rec_id, tag, occ, string_agg(value, ' ' ORDER BY pos) AS t FROM fields GROUP BY ALL) GROUP BY rec_id, tag)
+  FROM (SELECT rec_id, tag, occ, string_agg(value, ' ' ORDER BY pos) AS t FROM fields GROUP BY ALL) GROUP BY rec_id, tag) USING (rec_id, name)
 GROUP BY rec_id""")
 def _(spark, sf):
     wide = tagged.tagged_pivot(view(spark, sf, "fields"), _WIDE_SPEC, single=_WIDE_SINGLE)
-    filled = F.aggregate(F.array(*[(c(n) != "").cast("long") for n in _WIDE_NAMES]), F.lit(0).cast("long"), lambda x, y: x + y)
-    return wide.select("rec_id", filled.alias("n_filled"), F.md5(F.concat_ws("/", *_WIDE_NAMES).cast("binary")).alias("cells_md5"))
+    cells = ", ".join(_WIDE_NAMES)
+    filled = f"cast(size(filter(array({cells}), x -> x <> '')) AS bigint) AS n_filled"
+    return wide.selectExpr("rec_id", filled, f"md5(cast(concat_ws('/', {cells}) AS binary)) AS cells_md5")
 
 
 @query("tagged_subject_join", "tagged", f"""

@@ -79,11 +79,11 @@ SELECT l_orderkey, l_linenumber, l_suppkey + 1000000,
 FROM lineitem""",
     # tagged-field records of 250 tags
     "fields": """
-SELECT l_orderkey AS rec_id, l_linenumber AS occ, 1 AS pos, cast(100 + l_partkey % 250 AS varchar(4)) AS tag,
+SELECT l_orderkey AS rec_id, l_linenumber AS occ, l_partkey AS pos, cast(100 + l_partkey % 250 AS varchar(4)) AS tag,
        CASE l_linestatus WHEN 'O' THEN 'a' ELSE 'x' END AS code, concat('v', cast(l_partkey AS varchar(12))) AS value
 FROM lineitem
 UNION ALL
-SELECT l_orderkey, l_linenumber, 2, cast(100 + l_partkey % 250 AS varchar(4)),
+SELECT l_orderkey, l_linenumber, l_suppkey + 1000000, cast(100 + l_partkey % 250 AS varchar(4)),
        CASE WHEN l_quantity > 25 THEN 'x' ELSE 'b' END, concat('s', cast(l_suppkey AS varchar(12)))
 FROM lineitem""",
     # media files, 1 to 4 variants per base

@@ -7,9 +7,10 @@ map-side combining; what is finally joined into one text per cell is the cell's
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.fixed import NOTE_CODES
@@ -41,6 +42,11 @@ def _firsts(subfields: Column) -> Column:
     return F.filter(subfields, is_first)
 
 
+def _table(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFrame:
+    """A small table of stated rows that stays in the JVM."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+
+
 def _by_place(held: str) -> Column:
     """Cells in the order of their places -> an array with each cell at its place, gaps filled with empty text."""
     cells = F.col(held)
@@ -62,17 +68,26 @@ def tagged_pivot(tagged: DataFrame, spec: Sequence[FieldSpec], single: Sequence[
     cells become an array with a place for every column, so the work is linear in columns and cells,
     whatever the length of the specification.
     """
-    tags = sorted({tag for tag, _, _ in spec} | {tag for tag, _ in single})
     wanted = [column_name(tag, code) for tag, codes, _ in spec for code in codes]
     once = [column_name(tag, code) for tag, code in single]
-    first = list(range(len(wanted), len(wanted) + len(once)))
     whole = [tag for tag, _, full in spec if full]
+    columns = wanted + once + [f"new_{tag}_full" for tag in whole]
+    # the specification as two tables, a row per tag and a row per column: small by their nature
+    tags: dict[str, dict] = {tag: {"tag": tag, "whole": False, "once": []} for tag, *_ in [*spec, *single]}
+    for tag in whole:
+        tags[tag]["whole"] = True
+    for tag, code in single:
+        tags[tag]["once"].append(column_name(tag, code))
+    spark = tagged.sparkSession
+    tag_table = F.broadcast(_table(spark, list(tags.values()), "tag string, whole boolean, once array<string>"))
+    places = [{"place": i, "name": n, "first": len(wanted) <= i < len(wanted) + len(once)} for i, n in enumerate(columns)]
+    place_table = F.broadcast(_table(spark, places, "place int, name string, first boolean"))
 
     # rows of other tags only say that the record exists; all groupings below keep a record in one place
-    known = F.col("tag").isin(tags)
-    subfield = F.when(known, F.struct("pos", "code", "value"))
-    rows = tagged.select(
-        "rec_id", F.when(known, F.col("tag")).alias("tag"), F.when(known, F.col("occ")).alias("occ"), subfield.alias("subfield")
+    marked = tagged.join(tag_table.select("tag", F.lit(True).alias("known")), "tag", "left")
+    subfield = F.when(F.col("known"), F.struct("pos", "code", "value"))
+    rows = marked.select(
+        "rec_id", F.when(F.col("known"), F.col("tag")).alias("tag"), F.when(F.col("known"), F.col("occ")).alias("occ"), subfield.alias("subfield")
     ).repartition("rec_id")
     fields = rows.groupBy("rec_id", "tag", "occ").agg(F.sort_array(F.collect_list("subfield")).alias("subfields"))
 
@@ -82,30 +97,23 @@ def tagged_pivot(tagged: DataFrame, spec: Sequence[FieldSpec], single: Sequence[
     def named(s: Column) -> Column:
         return F.concat(F.lit("new_"), F.col("tag"), F.lit("_"), F.replace(s["code"], F.lit("."), F.lit("dot")))
 
-    fields = fields.withColumn("firsts", _firsts(F.col("subfields")))
-    cells = F.transform("firsts", lambda s: cell(named(s), s["value"]))
+    fields = fields.withColumn("firsts", _firsts(F.col("subfields"))).join(tag_table, "tag", "left")
+    firsts = F.transform("firsts", lambda s: cell(named(s), s["value"]))
     text = F.array_join(F.transform("subfields", lambda s: s["value"]), " ")
-    full = F.when(F.col("tag").isin(whole) & (text != ""), cell(F.concat(F.lit("new_"), "tag", F.lit("_full")), text))
-
-    cells = F.concat(cells, F.array_compact(F.array(full)))
-    if single:
-        # every occurrence has an empty cell for its single columns, so a first one without the subfield counts
-        names = {tag: [column_name(t, code) for t, code in single if t == tag] for tag, _ in single}
-        marks = F.array(*[F.struct(F.lit(tag).alias("tag"), F.lit(n).alias("_names")) for tag, n in names.items()])
-        fields = fields.join(F.broadcast(tagged.sparkSession.range(1).select(F.inline(marks))), "tag", "left")
-        empty = F.transform("_names", lambda n: cell(n, F.lit("")))
-        cells = F.when(F.col("_names").isNull(), cells).otherwise(F.concat(cells, empty))
-    cells = fields.select("rec_id", "occ", F.inline_outer(cells))
-
-    columns = wanted + once + [f"new_{tag}_full" for tag in whole]
-    # the columns by number: as many rows as the specification has fields; cells of no column keep their record
-    places = tagged.sparkSession.range(1).select(F.posexplode(F.lit(columns)).alias("place", "name"))
-    cells = cells.join(F.broadcast(places), "name", "left")
-    joined = F.when(F.col("place").isin(first), F.min_by("text", F.struct("occ", F.col("text") == ""))).otherwise(_joined(["occ"], "text", " | "))
-    cells = cells.groupBy("rec_id", "place").agg(joined.alias("cell"))
+    full = F.when(F.col("whole") & (text != ""), cell(F.concat(F.lit("new_"), "tag", F.lit("_full")), text))
+    # every occurrence has an empty cell for its single columns, so a first one without the subfield counts
+    empty = F.transform("once", lambda n: cell(n, F.lit("")))
+    cells = F.when(F.col("whole").isNotNull(), F.concat(firsts, F.array_compact(F.array(full)), empty))
+    cells = fields.select("rec_id", "occ", F.inline_outer(cells)).join(place_table, "name", "left")
+
+    joined = F.when(F.col("first"), F.min_by("text", F.struct("occ", F.col("text") == ""))).otherwise(_joined(["occ"], "text", " | "))
+    # a cell of no column keeps its record
+    cells = cells.groupBy("rec_id", "place", "first").agg(joined.alias("cell"))
     held = F.array_sort(F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "cell"))))
     records = cells.groupBy("rec_id").agg(held.alias("held")).select("rec_id", _by_place("held").alias("cells"))
-    return records.select("rec_id", *[F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(columns)])
+    # as SQL text: a thousand columns in one call
+    named_cells = [f"coalesce(get(cells, {i}), '') AS `{n.replace('`', '``')}`" for i, n in enumerate(columns)]
+    return records.selectExpr("rec_id", *named_cells)
 
 
 def read_field_spec(table: DataFrame) -> tuple[list[FieldSpec], list[tuple[str, str]]]:
