@@ -3,18 +3,22 @@
 A keyword counts where it occurs anywhere in a field, so questions and records share no join key. Keywords hold
 no white space, so each occurrence lies inside one word of the field:
 
-1. The different words of the catalogue are indexed by their three-letter grams. Each different keyword is looked up
-   by its rarest gram only, and ``contains`` verifies the words that come back.
+1. The different words of the catalogue are matched to the different keywords by their parts (substrings), an equality
+   join; words too long for that are indexed by their three-letter grams, and ``contains`` verifies what comes back.
 2. Matched words lead to the records by the postings (word, record, field); a keyword counts once per field.
-3. Records meet the lists of questions that have the keyword. Dealt out by record, the points add up per question and
-   record without another shuffle, and a ranked window keeps the best n of each task before the last one.
+3. Nearly every question meets nearly every record, so their pairs are never written. Records are dealt out in blocks,
+   and every block is sent the questions' keywords. A task holds one block's points, takes the questions in short
+   runs, and gives back the best n records of its block; a ranked window keeps the best n of all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +27,13 @@ from shelfmark.operators.merge import lookup_join
 from shelfmark.session import cut_lineage
 
 GRAM = 3
-LIST = 10_000  # questions in one list of a keyword, about
+LONG_WORD = 24  # letters of the longest word that is cut into all its parts
+BROADCAST_ROWS = 250_000  # keywords that are sent to every task, 16 MB about
+BLOCK_RECORDS, BLOCK_CHARS = 8192, 32 << 20  # of a block of records, about
+RUN = 1024  # questions scored at once
+DENSE = 0.02  # share of a block's records from which a keyword gets a row of its own
+DENSE_ROWS = 2048
+CONTEXT_QUESTIONS = 1024  # questions that share one copy of their records' texts, about
 
 
 def _words(text: Column) -> Column:
@@ -41,9 +51,29 @@ def grams_of(word: Column) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.substring(word, i, F.lit(GRAM))))
 
 
+def parts_of(words: DataFrame) -> DataFrame:
+    """(``word``, ``start``, ``keyword``): every substring of three letters or more."""
+    rests = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word") - GRAM + 1)).alias("start"))
+    rests = rests.select("*", F.explode(F.sequence(F.lit(GRAM), F.length("word") - F.col("start") + 1)).alias("_n"))
+    return rests.select("word", "start", F.substring("word", F.col("start"), F.col("_n")).alias("keyword"))
+
+
 def words_containing(keywords: DataFrame, words: DataFrame) -> DataFrame:
-    """``keyword`` and ``word`` for every word (distinct) that contains the keyword (distinct, three letters or more)."""
-    index = words.where(F.length("word") >= GRAM).select("word", F.explode(grams_of(F.col("word"))).alias("gram"))
+    """``keyword`` and ``word`` for every word (distinct) that contains the keyword (distinct, three letters or more).
+
+    Words of up to ``LONG_WORD`` letters give their parts, so that the work grows with the words and not with words times
+    keywords. Longer ones are few; each keyword is looked up among them by its rarest gram.
+    """
+    parts = parts_of(words.where(F.length("word").between(GRAM, LONG_WORD)))
+    asked = F.broadcast(keywords) if keywords.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keywords
+    # a part that a word has twice counts where it is first
+    met = lookup_join(parts, asked, ["keyword"], "left_semi").where("locate(keyword, word) = start")
+    met = met.select("keyword", "word")
+    return met.unionByName(_long_words_containing(keywords, words.where(F.length("word") > LONG_WORD)))
+
+
+def _long_words_containing(keywords: DataFrame, words: DataFrame) -> DataFrame:
+    index = words.select("word", F.explode(grams_of(F.col("word"))).alias("gram"))
     counts = index.groupBy("gram").agg(F.count("*").alias("held"))
     # a gram that no word has rules its keyword out
     asked = keywords.select("keyword", F.explode(grams_of(F.col("keyword"))).alias("gram"))
@@ -53,6 +83,145 @@ def words_containing(keywords: DataFrame, words: DataFrame) -> DataFrame:
     return met.where(F.col("word").contains(F.col("keyword"))).select("keyword", "word")
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Iterator[pa.RecordBatch], Iterator[pa.RecordBatch]]]:
+    """Rows sorted by ``block`` and ``kind`` -> for every block its rows of kind 0 and of kind 1, as they come."""
+
+    def pieces():
+        for batch in batches:
+            if batch.num_rows:
+                marks = batch.column("block").to_numpy().astype(np.int64) * 2 + batch.column("kind").to_numpy()
+                edges = [0, *(np.flatnonzero(np.diff(marks)) + 1).tolist(), len(marks)]
+                for low, high in zip(edges, edges[1:]):
+                    yield int(marks[low]), batch.slice(low, high - low)
+
+    source = pieces()
+    ahead = next(source, None)
+
+    def rows(mark: int) -> Iterator[pa.RecordBatch]:
+        nonlocal ahead
+        while ahead is not None and ahead[0] == mark:
+            piece, ahead = ahead[1], next(source, None)
+            yield piece
+
+    while ahead is not None:
+        block = ahead[0] // 2
+        first, second = rows(2 * block), rows(2 * block + 1)
+        yield first, second
+        for _ in chain(first, second):
+            pass
+
+
+def _by_block(held: DataFrame, asked: DataFrame, blocks: int, work: Callable, schema: str) -> DataFrame:
+    """``work`` over the two tables of every ``block``; it gets the rows of the first, then those of the second, as batches."""
+    both = held.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    dealt = both.repartition(blocks, "block").sortWithinPartitions("block", "kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for first, second in _blocks(batches):
+            yield from work(first, second)
+
+    return dealt.mapInArrow(run, schema)
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and values of a list column without nulls."""
+    return np.diff(column.offsets.to_numpy()), column.flatten().to_numpy(zero_copy_only=False)
+
+
+class _Points:
+    """What each keyword gives each record of one block: rows of a matrix for frequent keywords, lists for the rest."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], weights: Sequence[int]):
+        records, keywords, fields, sizes = [], [], [], []
+        for batch in batches:
+            lengths, values = _lists(batch.column("keywords"))
+            records.append(batch.column("record"))
+            keywords.append(values)
+            fields.append(np.repeat(batch.column("fields").to_numpy().astype(np.uint32), lengths))
+            sizes.append(lengths)
+        self.records = None
+        if not records:
+            return
+        column = pa.chunked_array(records)
+        names = pc.unique(column)
+        # equal points go to the smaller key, so records are held in the order of their keys
+        names = names.take(pc.sort_indices(names, null_placement="at_start"))
+        places = pc.index_in(column, value_set=names).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.records, self.n = names, len(names)
+        self.keywords, codes = np.unique(np.concatenate(keywords), return_inverse=True)
+        entry = codes.astype(np.int64) * self.n + np.repeat(places, np.concatenate(sizes))
+        order = np.argsort(entry, kind="stable")
+        entry = entry[order]
+        first = np.flatnonzero(np.diff(entry, prepend=-1))
+        # a field counts once, however many of its words have the keyword
+        bits = np.bitwise_or.reduceat(np.concatenate(fields)[order], first)
+        table = np.array([sum(w for i, w in enumerate(weights) if b >> i & 1) for b in range(1 << len(weights))], dtype=np.float64)
+        code, self.place = np.divmod(entry[first], self.n)
+        self.points = table[bits]
+        self.counts = np.bincount(code, minlength=len(self.keywords))
+        self.starts = np.concatenate([[0], np.cumsum(self.counts)])
+        frequent = np.flatnonzero(self.counts > max(DENSE * self.n, 1))
+        frequent = frequent[np.argsort(-self.counts[frequent], kind="stable")][:DENSE_ROWS]
+        self.row = np.full(len(self.keywords), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.matrix = np.zeros((len(frequent), self.n), dtype=np.float32)
+        inside = self.row[code] >= 0
+        self.matrix[self.row[code[inside]], self.place[inside]] = self.points[inside]
+
+    def scores(self, n: int, question: np.ndarray, keyword: np.ndarray, times: np.ndarray, most: int) -> np.ndarray:
+        """Scores (question, record) of n questions, exact: in single precision only while no sum can exceed it."""
+        total = np.bincount(question, weights=times, minlength=n).max(initial=0) * most
+        kind = np.float32 if total < 1 << 24 else np.float64
+        at = np.minimum(np.searchsorted(self.keywords, keyword), len(self.keywords) - 1)
+        known = self.keywords[at] == keyword
+        question, at, times = question[known], at[known], times[known].astype(kind)
+        frequent = self.row[at] >= 0
+        asked = np.zeros((n, len(self.matrix)), dtype=kind)
+        np.add.at(asked, (question[frequent], self.row[at[frequent]]), times[frequent])
+        found = asked @ self.matrix.astype(kind, copy=False)
+        flat = found.reshape(-1)
+        for q, k, t in zip(question[~frequent], at[~frequent], times[~frequent]):
+            low, high = self.starts[k], self.starts[k + 1]
+            flat[q * self.n + self.place[low:high]] += t * self.points[low:high].astype(kind, copy=False)
+        return found
+
+
+def _best(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the n highest scores above 0 of each row; of equal ones, the first."""
+    rows, columns = [], []
+    n = min(n, scores.shape[1])
+    limits = np.partition(scores, scores.shape[1] - n, axis=1)[:, scores.shape[1] - n]
+    for i, (row, limit) in enumerate(zip(scores, limits)):
+        if limit > 0:
+            above = np.flatnonzero(row > limit)
+            found = np.concatenate([above, np.flatnonzero(row == limit)[: n - len(above)]])
+        else:
+            found = np.flatnonzero(row > 0)
+        rows.append(np.full(len(found), i))
+        columns.append(found)
+    return np.concatenate(rows), np.concatenate(columns)
+
+
+def _best_of_block(n: int, weights: Sequence[int]) -> Callable:
+    def work(held: Iterator[pa.RecordBatch], asked: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = _Points(held, weights)
+        if block.records is None:
+            return
+        for batch in asked:
+            for low in range(0, batch.num_rows, RUN):
+                run = batch.slice(low, RUN)
+                lengths, keyword = _lists(run.column("keywords"))
+                _, times = _lists(run.column("times"))
+                scores = block.scores(run.num_rows, np.repeat(np.arange(run.num_rows), lengths), keyword, times, sum(weights))
+                row, column = _best(scores, n)
+                if len(row):
+                    values = [run.column("question").take(pa.array(row)), block.records.take(pa.array(column))]
+                    values.append(pa.array(scores[row, column].astype(np.int64)))
+                    yield pa.RecordBatch.from_arrays(values, names=["question", "record", "score"])
+
+    return work
+
+
 def retrieve(
     questions: DataFrame,
     catalog: DataFrame,
@@ -68,26 +237,29 @@ def retrieve(
     must be an integer column; ties go to the smaller key. Equal ids are one question, equal keys one record.
     """
     asked = questions.select(F.col(question_id).cast("bigint").alias("question"), F.explode(keywords_of(F.col(question))).alias("keyword"))
-    asked = asked.groupBy("question", "keyword").agg(F.count("*").alias("times"))
-    texts = F.array(*[F.struct(F.lit(i).alias("field"), _words(F.col(f)).alias("words")) for i, f in enumerate(weights)])
-    fields = catalog.select(F.col(key).alias("record"), F.inline(texts)).where("words IS NOT NULL")
-    # narrow, and read twice: once for the index, once for the postings
-    fields = cut_lineage(fields.select("record", "field", F.array_distinct("words").alias("words")))
-    postings = fields.select("record", "field", F.explode("words").alias("word"))
-
-    matches = words_containing(asked.select("keyword").distinct(), postings.select("word").distinct())
-    # one bit per field, so that two words of a field count once
-    bit = F.element_at(F.array(*[F.lit(1 << i) for i in range(len(weights))]), F.col("field") + 1)
-    held = lookup_join(postings, matches, ["word"]).groupBy("keyword", "record").agg(F.bit_or(bit).alias("fields"))
-    points = reduce(lambda a, b: a + b, [F.bit_get("fields", F.lit(i)).cast("long") * w for i, w in enumerate(weights.values())])
-    held = held.select("keyword", "record", points.alias("points"))
-    # a keyword's questions travel as lists, which come apart only where all rows of a record are; the lists of a keyword
-    # that very many questions have are cut into parts
-    part = F.pmod(F.xxhash64("question"), F.lit(1 + questions.count() // LIST)).alias("part")
-    lists = asked.groupBy("keyword", part).agg(F.collect_list(F.struct("question", "times")).alias("by"))
-    met = lookup_join(held, lists.drop("part"), ["keyword"]).select("record", "points", "by").repartition("record")
-    scores = met.select("record", "points", F.inline("by")).groupBy("question", "record")
-    scores = scores.agg(F.sum(F.col("points") * F.col("times")).alias("score"))
+    asked = cut_lineage(asked.groupBy("question", "keyword").agg(F.count("*").alias("times")))
+    # keywords go by number from here on; the checkpoint keeps the numbers
+    keywords = cut_lineage(asked.select("keyword").distinct().withColumn("number", F.monotonically_increasing_id()))
+
+    texts = F.array(*[F.struct(F.lit(1 << i).alias("fields"), F.array_distinct(_words(F.col(f))).alias("words")) for i, f in enumerate(weights)])
+    words = catalog.select(F.col(key).alias("record"), F.inline(texts)).where("words IS NOT NULL")
+    postings = words.select("record", "fields", F.explode("words").alias("word"))
+    matches = lookup_join(words_containing(keywords.select("keyword"), postings.select("word").distinct()), keywords, ["keyword"])
+    # no more than a word has parts
+    matches = matches.groupBy("word").agg(F.collect_list("number").alias("keywords"))
+    held = lookup_join(postings, matches, ["word"]).select("record", "fields", "keywords")
+
+    size = catalog.agg(F.count("*"), *[F.coalesce(F.sum(F.length(f)), F.lit(0)) for f in weights]).first()
+    blocks = 1 + max(size[0] // BLOCK_RECORDS, sum(size[1:]) // BLOCK_CHARS)
+    held = held.withColumn("block", F.pmod(F.xxhash64("record"), F.lit(blocks)).cast("int"))
+    asked = lookup_join(asked, keywords, ["keyword"]).groupBy("question")
+    asked = asked.agg(F.collect_list(F.struct("number", "times")).alias("by"))
+    asked = asked.select("question", F.col("by.number").alias("keywords"), F.col("by.times").alias("times"))
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    record = held.schema["record"].dataType.simpleString()
+    work = _best_of_block(n, list(weights.values()))
+    scores = _by_block(held, asked, blocks, work, f"question bigint, record {record}, score bigint")
     best = Window.partitionBy("question").orderBy(F.desc("score"), F.asc("record"))
     ranked = scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
     return ranked.select(F.col("question").alias(question_id), F.col("record").alias(key), "score", "rank")
@@ -105,25 +277,56 @@ def retrieval_context(
     nothing: str = "No catalogue record matches.",
 ) -> DataFrame:
     """One context text per question: numbered record blocks, a fixed text when nothing matched,
-    empty when the question has no keyword. At most n blocks per question are collected."""
-    details = catalog.select(key, "title", "field_identifier", "field_description_long", "field_subject")
-    rows = hits.join(details, key)
+    empty when the question has no keyword.
+
+    A record's text can be long and can be wanted by many questions. Questions are dealt out in groups, a group gets each
+    of its records' texts once, and the contexts are put together as they leave the task.
+    """
+    hits = cut_lineage(hits.select(F.col(question_id).alias("_asker"), F.col(key).alias("_record"), "rank"))
+    # keyed by text, as the record's own key may be of any type
+    wanted = hits.select("_asker", F.col("_record").cast("string").alias("record"), "rank").where("record IS NOT NULL")
+    asked = questions.select(question_id, (F.size(keywords_of(F.col(question))) > 0).alias("_asks"))
+    groups = 1 + hits.select("_asker").distinct().count() // CONTEXT_QUESTIONS
+    group = F.pmod(F.xxhash64(F.col("_asker").cast("string")), F.lit(groups)).cast("int").alias("block")
+    needed = wanted.select("record", group).distinct()
 
     def text(name: str, missing: str) -> Column:
         return F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(missing))
 
     block = F.concat(
-        F.col("rank").cast("string"), F.lit(". Title: "), text("title", "null"),
+        F.lit(". Title: "), text("title", "null"),
         F.lit("\nID: "), text("field_identifier", "null"),
         F.lit("\nDescription: "), text("field_description_long", "N/A"),
         F.lit("\nSubject: "), text("field_subject", "N/A"), F.lit("\n\n"),
     )
-    ordered = F.sort_array(F.collect_list(F.struct("rank", block.alias("block"))))
-    blocks = rows.groupBy(question_id).agg(F.array_join(F.transform(ordered, lambda b: b["block"]), "").alias("_blocks"))
-    asked = questions.select(question_id, (F.size(keywords_of(F.col(question))) > 0).alias("_asks"))
+    details = catalog.select(F.col(key).cast("string").alias("record"), block.alias("text"))
+    texts = lookup_join(details, needed, ["record"])
+    # at most n records a question
+    listed = wanted.groupBy("_asker").agg(F.sort_array(F.collect_list(F.struct("rank", "record"))).alias("by"))
+    listed = listed.select("_asker", group, F.col("by.rank").alias("ranks"), F.col("by.record").alias("records"))
+
+    asker = hits.schema["_asker"].dataType.simpleString()
+    blocks = _by_block(texts, listed, groups, _contexts, f"_asker {asker}, _blocks string")
     context = (
         F.when(~F.col("_asks"), "")
         .when(F.col("_blocks").isNull(), nothing)
         .otherwise(F.concat(F.lit(opening), "_blocks", F.lit(closing)))
     )
-    return asked.join(blocks, question_id, "left").select(question_id, context.alias("context"))
+    joined = asked.join(blocks, asked[question_id] == blocks["_asker"], "left")
+    return joined.select(question_id, context.alias("context"))
+
+
+def _contexts(texts: Iterator[pa.RecordBatch], asked: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks of every question of a group, one after another; of a record's several rows, in the order of their texts."""
+    held: dict[str, list[str]] = {}
+    for batch in texts:
+        for record, text in zip(batch.column("record").to_pylist(), batch.column("text").to_pylist()):
+            held.setdefault(record, []).append(text)
+    for rows in held.values():
+        rows.sort()
+    for batch in asked:
+        lists = zip(batch.column("ranks").to_pylist(), batch.column("records").to_pylist())
+        for i, (ranks, records) in enumerate(lists):
+            found = [f"{rank}{text}" for rank, record in zip(ranks, records) for text in held.get(record, [])]
+            if found:
+                yield pa.RecordBatch.from_arrays([batch.column("_asker").slice(i, 1), pa.array(["".join(found)])], names=["_asker", "_blocks"])

@@ -310,6 +310,56 @@ def test_retrieval_equals_a_plain_scan(spark):
     assert "Pandas" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_retrieval_writes_no_pairs(spark):
+    """Every question meets every record; the bytes shuffled must not grow with their product."""
+    n = 600
+    questions = spark.range(n).select(F.col("id").alias("q"), F.lit("alpha beta gamma delta epsilon").alias("text"))
+    catalog = spark.range(n).select(
+        "id", F.lit("alpha beta").alias("title"), F.lit("gamma").alias("field_subject"), F.lit("delta").alias("field_description_long"),
+        F.lit("epsilon").alias("field_genre"))
+    found = retrieval.retrieve(questions, catalog, "q", "text", "id")
+    wanted = [(q, i, 7, i + 1) for q in range(n) for i in range(5)]
+    assert sorted(tuple(r) for r in found.collect()) == wanted
+    plan = found._jdf.queryExecution().executedPlan()
+
+    def most_bytes(node):
+        metric = node.metrics().get("dataSize")
+        below = [most_bytes(node.children().apply(i)) for i in range(node.children().size())]
+        if node.getClass().getSimpleName().startswith("AdaptiveSparkPlan"):
+            below.append(most_bytes(node.executedPlan()))
+        if "QueryStageExec" in node.getClass().getSimpleName():
+            below.append(most_bytes(node.plan()))
+        return max([metric.get().value() if metric.isDefined() else 0, *below])
+
+    assert 0 < most_bytes(plan) < n * n
+
+
+def test_retrieval_in_several_blocks_and_with_long_words(spark, monkeypatch):
+    long = "x" * 30 + "needle" + "y" * 30
+    catalog = spark.createDataFrame([(i, "aneedlea" if i % 2 else long, None, "needle needle aneedle", "") for i in range(50)],
+                                    "id long, title string, field_subject string, field_description_long string, field_genre string")
+    catalog = catalog.withColumn("field_identifier", F.lit("n"))
+    asked = spark.createDataFrame([(1, "needle needle"), (2, long + " xxx"), (3, "none")], "q long, text string")
+    whole = rows(retrieval.retrieve(asked, catalog, "q", "text", "id"))
+    assert whole == [(1, i, 6, i + 1) for i in range(5)] + [(2, 2 * i, 4, i + 1) for i in range(5)]
+    texts = rows(retrieval.retrieval_context(asked, retrieval.retrieve(asked, catalog, "q", "text", "id"), catalog, "q", "text", "id"))
+    monkeypatch.setattr(retrieval, "BLOCK_RECORDS", 7)
+    monkeypatch.setattr(retrieval, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(retrieval, "CONTEXT_QUESTIONS", 1)
+    assert rows(retrieval.retrieve(asked, catalog, "q", "text", "id")) == whole
+    assert rows(retrieval.retrieval_context(asked, retrieval.retrieve(asked, catalog, "q", "text", "id"), catalog, "q", "text", "id")) == texts
+
+
+def test_context_of_a_repeated_record_has_all_its_rows(spark):
+    catalog = spark.createDataFrame([(1, "b", "x"), (1, "a", "y"), (None, "c", "z")], "id long, title string, field_identifier string")
+    catalog = catalog.withColumns({"field_description_long": F.lit("d"), "field_subject": F.lit("")})
+    asked = spark.createDataFrame([(7, "word"), (7, "word"), (None, "word"), (8, None)], "q long, text string")
+    hits = spark.createDataFrame([(7, 1, 1), (7, None, 2), (None, 1, 1)], "q long, id long, rank int")
+    found = [r.context for r in retrieval.retrieval_context(asked, hits, catalog, "q", "text", "id", "", "", "no").where("q = 7").collect()]
+    assert found == [
+        "1. Title: a\nID: y\nDescription: d\nSubject: N/A\n\n1. Title: b\nID: x\nDescription: d\nSubject: N/A\n\n"] * 2
+
+
 def test_latency_sketches_roll_up(spark):
     from shelfmark.operators import metrics
 
