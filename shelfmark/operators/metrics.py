@@ -38,10 +38,12 @@ def collection_by_decade(gold: DataFrame, first: int = 1800, last: int = 2025) -
 
 
 def explode_values(df: DataFrame, column: str, delimiter: str, name: str, *keep: Column | str) -> DataFrame:
-    """One row per delimited value, stripped; null and empty columns give none."""
-    present = df.where(F.col(column).isNotNull() & (F.col(column) != ""))
-    exploded = present.select(*keep, F.explode(split_literal(F.col(column), delimiter)).alias(name))
-    return exploded.withColumn(name, strip(F.col(name)))
+    """One row per delimited value, stripped; null and empty columns give none.
+
+    The empty ones are left out inside the generator: a filter would be pushed below the rules that make the column.
+    """
+    values = F.when(F.col(column) != "", F.transform(split_literal(F.col(column), delimiter), strip))
+    return df.select(*keep, F.explode(values).alias(name))
 
 
 def subject_synergy(gold: DataFrame, top: int = 20) -> DataFrame:

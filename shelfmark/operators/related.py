@@ -13,6 +13,8 @@ from shelfmark.functions.text import parse_subjects, strip
 from shelfmark.operators.merge import lookup_join
 from shelfmark.operators.sample import sample_n
 from shelfmark.operators.search import record_lookup
+from shelfmark.operators.shape import computed_once
+from shelfmark.session import cut_lineage
 
 
 def related_to(catalog: DataFrame, identifier: str, n: int = 4, key: str = "id", seed: str = "related") -> DataFrame:
@@ -34,8 +36,9 @@ def related_to(catalog: DataFrame, identifier: str, n: int = 4, key: str = "id",
     if record and record.field_linked_agent:
         conditions.append(F.col("field_linked_agent") == record.field_linked_agent)
     if conditions:
-        found = others.where(reduce(lambda a, b: a | b, conditions))
-        found = found.orderBy("field_identifier", key).limit(n).select(*columns)
+        # the first n rows are kept, so that asking whether there are any does not compute the catalogue once more
+        found = computed_once(others, [*columns, key] if key not in columns else columns, reduce(lambda a, b: a | b, conditions))
+        found = cut_lineage(found.orderBy("field_identifier", key).limit(n).select(*columns))
         if not found.isEmpty():
             return found
     return sample_n(others, key, n, seed).select(*columns)
@@ -77,8 +80,10 @@ def graph_expand(catalog: DataFrame, nodes: DataFrame, key: str = "id", n: int =
     Per creator only the first n+1 artifacts can be needed.
     """
     first = Window.partitionBy("field_linked_agent").orderBy("field_identifier", key)
-    artifacts = catalog.where("has_image AND field_linked_agent IS NOT NULL AND field_identifier IS NOT NULL")
-    artifacts = artifacts.select("field_linked_agent", "field_identifier", "title", key)
+    artifacts = computed_once(
+        catalog.where("has_image"), ["field_linked_agent", "field_identifier", "title", key],
+        F.col("field_linked_agent").isNotNull() & F.col("field_identifier").isNotNull(),
+    )
     leading = artifacts.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= n + 1).select(
         F.col("field_linked_agent").alias("creator"),
         F.col("field_identifier").alias("related_identifier"),

@@ -360,6 +360,34 @@ def test_context_of_a_repeated_record_has_all_its_rows(spark):
         "1. Title: a\nID: y\nDescription: d\nSubject: N/A\n\n1. Title: b\nID: x\nDescription: d\nSubject: N/A\n\n"] * 2
 
 
+@pytest.mark.parametrize("name", ["prolific_creators", "graph_expand"])
+def test_rules_are_not_computed_in_filters(spark, name):
+    """A filter over a computed column must not be moved below the column, where it computes the rules several times a row."""
+    from checks import base, serving  # noqa: F401
+
+    catalog = base.museum(spark, "/root/testdata/sf0.001").withColumns({"has_image": F.lit(True), "id": F.col("record_id")})
+    query = {"prolific_creators": metrics.prolific_creators, "graph_expand": lambda df: related.graph_expand(df, shape.computed_once(df, ["field_identifier", "field_linked_agent"]))}
+    plan = query[name](catalog)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("relators:" in line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter"))
+
+
+def test_a_small_file_is_dealt_out(spark):
+    from checks import base
+
+    assert base.museum(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_pages_with_repeated_and_missing_ids(spark):
+    df = spark.createDataFrame([(i if i % 4 else None, "x") for i in [3, 1, 1, 2, 2, 4, 5, 8, 9, 9]], "id long, title string")
+    ids = [None, None, 1, 1, 2, 2, 3, 5, 9, 9]
+    for limit, offset in ((3, 0), (4, 1), (5, 3), (2, 8), (5, 9), (5, 20), (0, 0), (1, 0)):
+        assert [r.id for r in search.records_page(df, limit, offset).collect()] == ids[offset:offset + limit]
+    assert [r.id for r in search.records_page(df, 3, after_id=1).collect()] == [2, 2, 3]
+    heavy = df.withColumn("title", F.repeat("title", F.lit(3)))
+    plan = search.records_page(heavy, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan  # only the records up to the page are computed
+
+
 def test_latency_sketches_roll_up(spark):
     from shelfmark.operators import metrics
 
