@@ -114,7 +114,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Iterator[pa.Rec
 def _by_block(held: DataFrame, asked: DataFrame, blocks: int, work: Callable, schema: str) -> DataFrame:
     """``work`` over the two tables of every ``block``; it gets the rows of the first, then those of the second, as batches."""
     both = held.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    dealt = both.repartition(blocks, "block").sortWithinPartitions("block", "kind")
+    # two partitions at least: a single one would count as the partitioning of whatever window comes after
+    dealt = both.repartition(max(blocks, 2), "block").sortWithinPartitions("block", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, second in _blocks(batches):
