@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pyarrow as pa
@@ -91,6 +92,18 @@ def test_stream_over_no_rows(spark, tmp_path):
     assert exact.dedup_files(spark, str(tmp_path), str(tmp_path / "_state")).count() == 0
 
 
+def test_open_stores_reserve_no_disk(spark, tmp_path):
+    """RocksDB reserves 4 MB for the manifest of each open store unless told not to."""
+    source = tmp_path / "documents.parquet"
+    source.mkdir()
+    write(source, "a", range(50), [f"text {i}" for i in range(50)])
+    local = spark.sparkContext._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().conf())
+    before = set(Path(local).rglob("MANIFEST-*"))
+    exact.absorb(spark, str(source), str(tmp_path / "state"))
+    held = [p.stat().st_blocks * 512 for p in Path(local).rglob("MANIFEST-*") if p not in before]
+    assert max(held, default=0) < 1 << 20
+
+
 def test_bitmap_keeps_every_hit(spark):
     rows = spark.range(20_000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"), "id")
     wanted = rows.where("id % 3 = 0")
