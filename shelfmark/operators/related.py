@@ -63,15 +63,18 @@ def related_records(catalog: DataFrame, key: str, n: int = 4) -> DataFrame:
         F.explode(match_keys(subjects)).alias("_match"), F.col("field_identifier").alias("related_identifier"), F.col(key).alias("related_key")
     )
     nearest = Window.partitionBy("_match").orderBy("related_identifier", "related_key")
-    candidates = candidates.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= n + 1).drop("_r")
+    candidates = candidates.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= n + 1)
+    # a key's candidates travel as one list, so that joining them multiplies no rows that are then sorted
+    lists = candidates.groupBy("_match").agg(F.collect_list(F.struct("related_identifier", "related_key")).alias("_list"))
 
     wanted = catalog.select(key, F.explode(match_keys(F.slice(subjects, 1, 1))).alias("_match"))
-    pairs = lookup_join(wanted, candidates, ["_match"]).where(F.col(key) != F.col("related_key"))
-    # a pair can come from several match keys: equal rows share a dense rank, so they are merged
-    # after the cut, in the partitioning the window already has
-    best = Window.partitionBy(key).orderBy("related_identifier", "related_key")
-    ranked = pairs.select(key, "related_key", "related_identifier", F.dense_rank().over(best).alias("rank"))
-    return ranked.where(F.col("rank") <= n).distinct()
+    others = F.filter("_list", lambda c: F.col(key) != c["related_key"])
+    # dealt by record before they are grouped: grouping in the tasks of the join would hold all their lists
+    found = lookup_join(wanted, lists, ["_match"]).select(key, others.alias("_list")).where(F.size("_list") > 0).repartition(key)
+    # a pair can come from several match keys
+    best = F.slice(F.array_distinct(F.sort_array(F.flatten(F.collect_list("_list")))), 1, n)
+    ranked = found.groupBy(key).agg(best.alias("_best")).select(key, F.posexplode("_best").alias("_place", "_found"))
+    return ranked.select(key, "_found.related_key", "_found.related_identifier", (F.col("_place") + 1).alias("rank"))
 
 
 def graph_expand(catalog: DataFrame, nodes: DataFrame, key: str = "id", n: int = 10) -> DataFrame:

@@ -98,6 +98,14 @@ def test_tagged_pivot_shuffles_once(spark, name):
     assert text.count("Exchange hashpartitioning") == 1
 
 
+def test_related_pairs_are_not_sorted_in_the_tasks_of_the_join(spark):
+    """A match key's candidates are joined as one list; a sort of all pairs would grow with the rows of a key."""
+    lines = plan(QUERIES["related_records"](spark, SF)).splitlines()
+    start = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(id#" in line)
+    above_join = [line for line in lines[start : next(i for i in range(start, len(lines)) if "Join [" in lines[i])]]
+    assert not any("Sort [" in line or "WindowGroupLimit" in line for line in above_join)
+
+
 def test_duplicates_are_exploded_once_per_side(spark):
     text = plan(QUERIES["duplicates_report"](spark, SF))
     assert text.count("FileScan") <= 4 and "CartesianProduct" not in text
