@@ -240,9 +240,10 @@ UNION ALL SELECT rec_id, concat('new_', tag, '_full'), string_agg(t, ' | ' ORDER
 GROUP BY rec_id""")
 def _(spark, sf):
     wide = tagged.tagged_pivot(view(spark, sf, "fields"), _WIDE_SPEC, single=_WIDE_SINGLE)
-    cells = ", ".join(_WIDE_NAMES)
-    filled = f"cast(size(filter(array({cells}), x -> x <> '')) AS bigint) AS n_filled"
-    return wide.selectExpr("rec_id", filled, f"md5(cast(concat_ws('/', {cells}) AS binary)) AS cells_md5")
+    # the cells as one array, which both columns are computed from
+    cells = wide.selectExpr("rec_id", f"array({', '.join(_WIDE_NAMES)}) AS cells")
+    filled = "cast(size(array_remove(cells, '')) AS bigint) AS n_filled"
+    return cells.selectExpr("rec_id", filled, "md5(cast(concat_ws('/', cells) AS binary)) AS cells_md5")
 
 
 @query("tagged_subject_join", "tagged", f"""

@@ -32,30 +32,36 @@ def column_name(tag: str, code: str) -> str:
     return f"new_{tag}_{code.replace('.', 'dot')}"
 
 
-def _firsts(subfields: Column) -> Column:
-    """The first non-empty subfield of each code, of one field's subfields in order."""
+def _rows(rows: Sequence[dict], schema: str) -> Column:
+    """Stated rows as a constant array of structs."""
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
 
-    def is_first(s: Column, i: Column) -> Column:
-        earlier = F.slice(subfields, 1, i)
-        return (s["value"] != "") & ~F.exists(earlier, lambda e: (e["code"] == s["code"]) & (e["value"] != ""))
 
-    return F.filter(subfields, is_first)
+def _numbers(spark: SparkSession, names: Sequence[str], key: str, number: str) -> DataFrame:
+    """A small table of the names with their numbers that stays in the JVM."""
+    rows = [{key: name, number: i} for i, name in enumerate(names)]
+    return F.broadcast(spark.range(1).select(F.inline(_rows(rows, f"{key} string, {number} int"))))
 
 
-def _table(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFrame:
-    """A small table of stated rows that stays in the JVM."""
-    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+def _runs(df: DataFrame, items: str, part: str) -> DataFrame:
+    """``rec_id`` and ``runs``: sorted items as arrays of the neighbours that share ``part``."""
+    held = F.col(items)
+    begins = F.transform(held, lambda x, i: F.when((i == 0) | ~x[part].eqNullSafe(F.get(held, i - 1)[part]), i))
+    starts = F.col("starts")
+    run = F.transform(starts, lambda s, k: F.slice(held, s + 1, F.coalesce(F.get(starts, k + 1), F.size(held)) - s))
+    return df.select("rec_id", held, F.array_compact(begins).alias("starts")).select("rec_id", run.alias("runs"))
 
 
-def _by_place(held: str) -> Column:
-    """Cells in the order of their places -> an array with each cell at its place, gaps filled with empty text."""
+def _by_place(held: str, size: int) -> Column:
+    """Cells in the order of their places -> an array of ``size`` texts with each cell at its place, gaps filled with empty text."""
     cells = F.col(held)
 
     def with_gap(c: Column, i: Column) -> Column:
         before = F.coalesce(F.get(cells, i - 1)["place"], F.lit(-1))
-        return F.concat(F.array_repeat(F.lit(""), c["place"] - before - 1), F.array(c["cell"]))
+        return F.array(F.array_repeat(F.lit(""), c["place"] - before - 1), F.array(c["cell"]))
 
-    return F.flatten(F.transform(cells, with_gap))
+    end = F.array(F.struct(F.lit(size).alias("place"), F.lit("").alias("cell")))
+    return F.flatten(F.flatten(F.transform(F.concat(cells, end), with_gap)))
 
 
 def tagged_pivot(tagged: DataFrame, spec: Sequence[FieldSpec], single: Sequence[tuple[str, str]] = ()) -> DataFrame:
@@ -63,57 +69,81 @@ def tagged_pivot(tagged: DataFrame, spec: Sequence[FieldSpec], single: Sequence[
     `` | ``; absent -> empty.
 
     ``whole field`` adds ``new_<tag>_full``: all text of each occurrence. ``single`` subfields are
-    taken from the first occurrence of the field only. One shuffle by record: subfields meet in their
-    field, the field yields its cells, the cells meet by (record, column), then by record. A record's
-    cells become an array with a place for every column, so the work is linear in columns and cells,
-    whatever the length of the specification.
+    taken from the first occurrence of the field only. One grouping, by record: its subfields become
+    an array, sorted by the columns they go to, and neighbours yield the cells. The cells become an
+    array with a place for every column, so the work is linear in columns and, but for the sort, in
+    cells, whatever the length of the specification.
     """
     wanted = [column_name(tag, code) for tag, codes, _ in spec for code in codes]
     once = [column_name(tag, code) for tag, code in single]
     whole = [tag for tag, _, full in spec if full]
     columns = wanted + once + [f"new_{tag}_full" for tag in whole]
-    # the specification as two tables, a row per tag and a row per column: small by their nature
-    tags: dict[str, dict] = {tag: {"tag": tag, "whole": False, "once": []} for tag, *_ in [*spec, *single]}
+    # the specification as tables, a row per tag and a row per column name: small by their nature
+    places: dict[str, list[int]] = {}
+    for i, name in enumerate(columns):
+        places.setdefault(name, []).append(i)
+    tags: dict[str, dict] = {tag: {"whole": [], "once": []} for tag, *_ in [*spec, *single]}
     for tag in whole:
-        tags[tag]["whole"] = True
+        tags[tag]["whole"] = places[f"new_{tag}_full"]
     for tag, code in single:
-        tags[tag]["once"].append(column_name(tag, code))
+        tags[tag]["once"] += places[column_name(tag, code)]
+    of_tag = _rows(list(tags.values()), "whole array<int>, once array<int>")
+    of_name = _rows([{"places": p} for p in places.values()], "places array<int>")
+
     spark = tagged.sparkSession
-    tag_table = F.broadcast(_table(spark, list(tags.values()), "tag string, whole boolean, once array<string>"))
-    places = [{"place": i, "name": n, "first": len(wanted) <= i < len(wanted) + len(once)} for i, n in enumerate(columns)]
-    place_table = F.broadcast(_table(spark, places, "place int, name string, first boolean"))
-
-    # rows of other tags only say that the record exists; all groupings below keep a record in one place
-    marked = tagged.join(tag_table.select("tag", F.lit(True).alias("known")), "tag", "left")
-    subfield = F.when(F.col("known"), F.struct("pos", "code", "value"))
-    rows = marked.select(
-        "rec_id", F.when(F.col("known"), F.col("tag")).alias("tag"), F.when(F.col("known"), F.col("occ")).alias("occ"), subfield.alias("subfield")
-    ).repartition("rec_id")
-    fields = rows.groupBy("rec_id", "tag", "occ").agg(F.sort_array(F.collect_list("subfield")).alias("subfields"))
-
-    def cell(name: Column, text: Column) -> Column:
-        return F.struct(name.alias("name"), text.alias("text"))
-
-    def named(s: Column) -> Column:
-        return F.concat(F.lit("new_"), F.col("tag"), F.lit("_"), F.replace(s["code"], F.lit("."), F.lit("dot")))
-
-    fields = fields.withColumn("firsts", _firsts(F.col("subfields"))).join(tag_table, "tag", "left")
-    firsts = F.transform("firsts", lambda s: cell(named(s), s["value"]))
-    text = F.array_join(F.transform("subfields", lambda s: s["value"]), " ")
-    full = F.when(F.col("whole") & (text != ""), cell(F.concat(F.lit("new_"), "tag", F.lit("_full")), text))
-    # every occurrence has an empty cell for its single columns, so a first one without the subfield counts
-    empty = F.transform("once", lambda n: cell(n, F.lit("")))
-    cells = F.when(F.col("whole").isNotNull(), F.concat(firsts, F.array_compact(F.array(full)), empty))
-    cells = fields.select("rec_id", "occ", F.inline_outer(cells)).join(place_table, "name", "left")
-
-    joined = F.when(F.col("first"), F.min_by("text", F.struct("occ", F.col("text") == ""))).otherwise(_joined(["occ"], "text", " | "))
-    # a cell of no column keeps its record
-    cells = cells.groupBy("rec_id", "place", "first").agg(joined.alias("cell"))
-    held = F.array_sort(F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "cell"))))
-    records = cells.groupBy("rec_id").agg(held.alias("held")).select("rec_id", _by_place("held").alias("cells"))
+    rows = tagged.select("rec_id", "tag", "occ", "pos", "code", "value")
+    known = rows.join(_numbers(spark, list(tags), "tag", "tag_no"), "tag", "left")
+    name = F.when(F.col("tag_no").isNotNull(), F.concat(F.lit("new_"), "tag", F.lit("_"), F.replace("code", F.lit("."), F.lit("dot"))))
+    known = known.withColumn("name", name).join(_numbers(spark, list(places), "name", "name_no"), "name", "left")
+    # rows of other tags only say that the record exists
+    subfield = F.when(F.col("tag_no").isNotNull(), F.struct("tag_no", "name_no", "occ", "pos", "code", "value"))
+    records = known.groupBy("rec_id").agg(F.collect_list(subfield).alias("subfields"))
+
+    no_code, no_pos = F.lit(None).cast("string"), F.lit(None).cast(tagged.schema["pos"].dataType)
+
+    def items(s: Column) -> Column:
+        """What a subfield gives to the columns. Of a part, the first item is the text, or all are if it is a whole field."""
+
+        def item(place: Column, full: bool, part_code: Column, pos: Column, code: Column, value: Column) -> Column:
+            key = (place.alias("place"), s["occ"].alias("occ"), s["tag_no"].alias("tag_no"), F.lit(full).alias("full"), part_code.alias("code"))
+            return F.struct(F.struct(*key).alias("part"), pos.alias("pos"), code.alias("code"), value.alias("value"))
+
+        cells = F.transform(F.get(of_name, s["name_no"])["places"], lambda p: item(p, False, s["code"], s["pos"], no_code, s["value"]))
+        field = F.get(of_tag, s["tag_no"])
+        full = F.transform(field["whole"], lambda p: item(p, True, no_code, s["pos"], s["code"], s["value"]))
+        # every occurrence has an empty cell for its single columns, so a first one without the subfield counts
+        empty = F.transform(field["once"], lambda p: item(p, False, no_code, no_pos, no_code, F.lit("")))
+        # a missing value holds its place, so that a part which begins with one has no text
+        return F.array_compact(F.array(F.when(F.coalesce(s["value"] != "", F.lit(True)), cells), full, empty))
+
+    records = records.select("rec_id", F.sort_array(F.flatten(F.flatten(F.transform("subfields", items)))).alias("items"))
+
+    def is_once(place: Column) -> Column:
+        return place.between(len(wanted), len(wanted) + len(once) - 1)
+
+    def text(run: Column) -> Column:
+        first = F.get(run, F.lit(0))
+        whole_text = F.array_join(F.transform(run, lambda x: x["value"]), " ")
+        return F.when(first["part"]["full"], F.nullif(whole_text, F.lit(""))).otherwise(first["value"])
+
+    def piece(run: Column) -> Column:
+        part = F.get(run, F.lit(0))["part"]
+        return F.struct(part["place"].alias("place"), part["occ"].alias("occ"), text(run).alias("text"))
+
+    pieces = F.filter(F.transform("runs", piece), lambda p: p["text"].isNotNull())
+    # an empty text comes last among those of one occurrence where one of them is taken
+    ordered = F.transform(pieces, lambda p: F.struct(p["place"], p["occ"], (is_once(p["place"]) & (p["text"] == "")).alias("blank"), p["text"]))
+    records = _runs(records, "items", "part").select("rec_id", F.sort_array(ordered).alias("pieces"))
+
+    def cell(run: Column) -> Column:
+        first = F.get(run, F.lit(0))
+        joined = F.array_join(F.transform(run, lambda p: p["text"]), " | ")
+        return F.struct(first["place"].alias("place"), F.when(is_once(first["place"]), first["text"]).otherwise(joined).alias("cell"))
+
+    records = _runs(records, "pieces", "place").select("rec_id", F.transform("runs", cell).alias("held"))
+    records = records.select("rec_id", _by_place("held", len(columns)).alias("cells"))
     # as SQL text: a thousand columns in one call
-    named_cells = [f"coalesce(get(cells, {i}), '') AS `{n.replace('`', '``')}`" for i, n in enumerate(columns)]
-    return records.selectExpr("rec_id", *named_cells)
+    return records.selectExpr("rec_id", *[f"coalesce(get(cells, {i}), '') AS `{n.replace('`', '``')}`" for i, n in enumerate(columns)])
 
 
 def read_field_spec(table: DataFrame) -> tuple[list[FieldSpec], list[tuple[str, str]]]:

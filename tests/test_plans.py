@@ -98,6 +98,12 @@ def test_tagged_pivot_shuffles_once(spark, name):
     assert text.count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("name", ["tagged_pivot", "tagged_table"])
+def test_tagged_pivot_groups_once(spark, name):
+    """One grouping by record, once before and once after the shuffle."""
+    assert plan(QUERIES[name](spark, SF)).count("ObjectHashAggregate(") == 2
+
+
 def test_related_pairs_are_not_sorted_in_the_tasks_of_the_join(spark):
     """A match key's candidates are joined as one list; a sort of all pairs would grow with the rows of a key."""
     lines = plan(QUERIES["related_records"](spark, SF)).splitlines()
