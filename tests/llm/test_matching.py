@@ -323,6 +323,39 @@ def test_lines_of_repeated_rows_rows_without_id_and_short_lines(spark):
     assert {r.row_id for r in found.collect()} == {"x"}
 
 
+def test_lines_are_the_same_without_broadcasts(spark, monkeypatch):
+    draw = random.Random(8)
+    base = ["".join(draw.choice("abcé ") for _ in range(draw.randrange(8, 30))) for _ in range(60)]
+    every = [edited(draw, draw.choice(base), draw.randrange(3)) for _ in range(240)]
+    docs = spark.createDataFrame([(i, "\n".join(every[i * 8 : i * 8 + 8])) for i in range(30)], "doc_id long, text string")
+    whole = sorted(lines.dedup_report(docs).collect())
+    assert sum(r.n_near for r in whole) > 9
+    monkeypatch.setattr(lines, "BROADCAST_BYTES", 0)
+    for words in (1, lines.BIT_WORDS):
+        monkeypatch.setattr(lines, "BIT_WORDS", words)
+        assert sorted(lines.dedup_report(docs).collect()) == whole
+
+
+def test_many_shared_lines_are_not_broadcast(spark):
+    n = 170_000
+    docs = spark.range(2 * n).select(F.col("id").alias("doc_id"), F.concat(F.lit("line "), F.col("id") % n).alias("text"))
+    known = spark.createDataFrame([], "hash binary, class binary, links long")
+    marks = lines.shared_lines(lines.line_hashes(lines.numbered_rows(docs)), known)
+    assert sum(not r.kept for r in marks.collect()) == n
+
+    def broadcast(node):
+        kind, sizes = node.getClass().getSimpleName(), []
+        if kind.startswith("AdaptiveSparkPlan"):
+            sizes += broadcast(node.executedPlan())
+        if "QueryStageExec" in kind:
+            sizes += broadcast(node.plan())
+        if kind.startswith("BroadcastExchange"):
+            sizes.append(node.metrics().get("dataSize").get().value())
+        return sizes + [x for i in range(node.children().size()) for x in broadcast(node.children().apply(i))]
+
+    assert max(broadcast(marks._jdf.queryExecution().executedPlan())) < 16 << 20  # one table of 170,000 hashes takes 22 MB
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_edges(spark, edges, nothing, empty):
     docs = nothing if empty else edges
