@@ -1,3 +1,5 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -351,6 +353,51 @@ def test_retrieval_in_several_blocks_and_with_long_words(spark, monkeypatch):
     assert rows(retrieval.retrieval_context(asked, retrieval.retrieve(asked, catalog, "q", "text", "id"), catalog, "q", "text", "id")) == texts
 
 
+def test_points_of_a_block_equal_brute_force(monkeypatch):
+    draw = __import__("random").Random(4)
+    weights = [2, 1, 90]
+    words = {f"w{i}": sorted(draw.sample(range(100, 130), draw.randint(1, 6))) for i in range(40)}
+    fields = [(draw.choice([None, *range(9)]), 1 << draw.randrange(3), draw.sample([*words, "other"], draw.randint(0, 12))) for _ in range(60)]
+    asked = [[(k, draw.choice([1, 1, 3, 900])) for k in draw.sample(range(95, 135), draw.randint(0, 12))] for _ in range(50)]
+    batches = [
+        [pa.RecordBatch.from_pydict({"word": [w], "keywords": pa.array([k], pa.list_(pa.int64()))}) for w, k in words.items()],
+        [pa.RecordBatch.from_pydict({"record": pa.array([r], pa.int64()), "fields": pa.array([f], pa.int32()), "words": pa.array([w], pa.list_(pa.string()))}) for r, f, w in fields],
+    ]
+    keys = sorted({r for r, _, _ in fields}, key=lambda r: (r is not None, r))
+    held = {r: {(k, f) for x, f, ws in fields if x == r for w in ws if w in words for k in words[w]} for r in keys}
+    for rare, size in ((0, 1 << 20), (16, 1 << 20), (2, 50)):
+        for name, value in (("RARE", rare), ("DENSE_BYTES", size), ("ROWS", 3), ("POSTINGS", 5)):
+            monkeypatch.setattr(retrieval, name, value)
+        block = retrieval._Points(iter(batches[0]), iter(batches[1]), weights)
+        flat = np.array([x for q in asked for x in q], dtype=np.int64).reshape(-1, 2)
+        found = {q: (places.tolist(), scores.tolist()) for q, places, scores in block.best(np.array([len(q) for q in asked]), flat[:, 0], flat[:, 1], 4)}
+        for q, keywords in enumerate(asked):
+            points = [sum(t * weights[f.bit_length() - 1] for k, t in keywords for x, f in held[r] if x == k) for r in keys]
+            best = sorted((-p, i) for i, p in enumerate(points) if p)[:4]
+            assert sorted(zip(*found.get(q, ([], [])))) == sorted((i, -p) for p, i in best)
+
+
+def test_blocks_bring_no_null_lists(spark):
+    """Arrow's writer passes over all nulls before a null list for every row."""
+    one = spark.range(50).select((F.col("id") % 3).cast("int").alias("block"), F.array("id").alias("a"))
+    two = spark.range(50).select((F.col("id") % 3).cast("int").alias("block"), F.array(F.lit("x")).alias("b"))
+
+    def nulls(*found):
+        yield pa.RecordBatch.from_pydict({"n": [sum(b.column(c).null_count for f in found for b in f for c in ("a", "b"))]})
+
+    assert [r.n for r in retrieval._by_block([one, two], 3, nulls, "n long").collect()] == [0, 0, 0]
+
+
+def test_contexts_are_not_shuffled(spark):
+    catalog = spark.createDataFrame([(1, "red map", "x")], "id long, title string, field_identifier string")
+    catalog = catalog.withColumns({"field_description_long": F.lit("d"), "field_subject": F.lit("")})
+    asked = spark.createDataFrame([(7, "red"), (8, "blue"), (9, None), (None, "of the")], "q long, text string")
+    found = retrieval.retrieval_context(asked, spark.createDataFrame([(7, 1, 1)], "q long, id long, rank int"), catalog, "q", "text", "id", "", "", "no")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Exchange")
+    assert rows(found)[1:] == [(7, "1. Title: red map\nID: x\nDescription: d\nSubject: N/A\n\n"), (8, "no"), (9, "no")] and rows(found)[0][0] is None
+
+
 def test_context_of_a_repeated_record_has_all_its_rows(spark):
     catalog = spark.createDataFrame([(1, "b", "x"), (1, "a", "y"), (None, "c", "z")], "id long, title string, field_identifier string")
     catalog = catalog.withColumns({"field_description_long": F.lit("d"), "field_subject": F.lit("")})
